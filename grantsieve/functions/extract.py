@@ -159,7 +159,9 @@ def award_from_amounts(ranked: Column) -> Column:
 
 def award(section: Column, strict_units: bool = False) -> Column:
     """``struct<total, range>`` of an award section; both null without a positive amount."""
-    ranked = F.when(section.contains("$"), rank_amounts(section, strict_units))
+    ranked = let(
+        section, lambda s: F.when(s.contains("$"), rank_amounts(s, strict_units))
+    )
     return let(ranked, award_from_amounts)
 
 
@@ -188,5 +190,4 @@ def eligibility(text: Column, profile: Profile, folded: Column | None = None) ->
             & may_match(folded, profile.eligibility_stops),
             in_page,
         )
-    in_page = let(in_page, lambda c: longer_than(c, gate))
-    return or_empty(F.coalesce(in_section, in_page))
+    return or_empty(F.coalesce(in_section, longer_than(in_page, gate)))

@@ -16,12 +16,18 @@ from pyspark.sql import functions as F
 
 from . import fixed_values as fv
 from .patterns import SPACE_CHARS
-from .text import clean_text, let, or_empty, or_null, strip_space
+from .text import clean_text, let, or_null, strip_space
 
+# Possessive groups run as loops in the regex engine: no recursion on long inputs, and
+# jumping from "<" to "<" beats testing for the end at every character.
 _ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-# Possessive groups run as loops in the regex engine: no recursion on long tag runs.
 _MARKUP = rf"<[A-Za-z/!?](?:{_ATTRIBUTES}>|[^>]*+>)"
-_MARKUP_OR_SPACE = rf"(?:[{SPACE_CHARS}]++|{_MARKUP})++"
+
+
+def _up_to(closing: str) -> str:
+    """Everything up to (not including) a closing tag of the given names, or the end."""
+    return rf"(?:[^<]++|<(?!/(?:{closing})\s*>))*+"
+
 
 _REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9.-]*)"
 # looked up first to last, so the usual names are put in front of the standard list
@@ -33,29 +39,21 @@ _USUAL_NAMES = ("amp", "nbsp", "lt", "gt", "quot", "apos", "rsquo", "lsquo", "rd
 def visible_markup(html: Column, hidden_elements: Iterable[str]) -> Column:
     """Drop comments and elements whose content is never page text."""
     names = "|".join(hidden_elements)
-    return F.regexp_replace(
-        html,
-        rf"(?is)<!--.*?(?:-->|\z)|<({names})(?=[\s/>]){_ATTRIBUTES}(?<!/)>.*?</\1\s*>",
-        " ",
-    )
+    comment = r"!--(?:[^-]++|-(?!->))*+(?:-->|\z)"
+    element = rf"({names})(?=[\s/>]){_ATTRIBUTES}(?<!/)>{_up_to(r'\1')}</\1\s*>"
+    return F.regexp_replace(html, f"(?i)<(?:{comment}|{element})", " ")
 
 
 def root_markup(visible: Column, root_elements: Iterable[str]) -> Column:
     """First root element that exists, in order of preference; else the whole page."""
     names = list(root_elements)
-    found = []
-    for i, name in enumerate(names):
-        closing = "|".join(names[i:])
-        found.append(
-            or_null(
-                F.regexp_extract(
-                    visible,
-                    rf"(?is)<{name}(?=[\s/>]){_ATTRIBUTES}>.*?(?:</(?:{closing})\s*>|\z)",
-                    0,
-                )
-            )
+    found = [
+        F.regexp_extract(
+            visible, rf"(?i)<{name}(?=[\s/>]){_ATTRIBUTES}>{_up_to('|'.join(names[i:]))}", 0
         )
-    return F.coalesce(*found, visible)
+        for i, name in enumerate(names)
+    ]
+    return F.coalesce(*[or_null(f) for f in found], visible)
 
 
 def _entity_names() -> Column:
@@ -111,12 +109,12 @@ def decode_entities(c: Column) -> Column:
         tail = F.transform(F.slice(parts, F.lit(2), F.size(parts)), piece)
         return F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))
 
-    return F.when(c.contains("&"), let(F.split(c, "&"), decoded)).otherwise(c)
+    return let(c, lambda t: F.when(t.contains("&"), let(F.split(t, "&"), decoded)).otherwise(t))
 
 
 def markup_text(markup: Column) -> Column:
     """Text of an HTML fragment: tags become spaces, references characters, space is collapsed."""
-    bare = F.trim(F.regexp_replace(or_empty(markup), _MARKUP_OR_SPACE, " "))
+    bare = clean_text(F.regexp_replace(markup, _MARKUP, " "))
     return let(
         bare,
         lambda t: F.when(t.contains("&"), clean_text(decode_entities(t))).otherwise(t),
@@ -169,7 +167,7 @@ def classed_heading(visible: Column, class_part: str) -> Column:
         F.regexp_extract(
             visible,
             rf"(?s)<(?i:h1)(?=\s){_with_attribute('class', f'@*{class_part}@*')}{_ATTRIBUTES}>"
-            r"(.*?)</(?i:h1)\s*>",
+            rf"({_up_to('(?i:h1)')})</(?i:h1)\s*>",
             1,
         ),
     )
@@ -178,7 +176,9 @@ def classed_heading(visible: Column, class_part: str) -> Column:
 def element_markup(visible: Column, element: str) -> Column:
     """Source inside the first ``element``; ``""`` if there is none."""
     return F.regexp_extract(
-        visible, rf"(?is)<{element}(?=[\s/>]){_ATTRIBUTES}>(.*?)</{element}\s*>", 1
+        visible,
+        rf"(?i)<{element}(?=[\s/>]){_ATTRIBUTES}>({_up_to(element)})</{element}\s*>",
+        1,
     )
 
 

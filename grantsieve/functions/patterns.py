@@ -10,9 +10,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-# Every character that Unicode-aware text processing counts as white space.
-SPACE_CHARS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Every character that Unicode-aware text processing counts as white space: the
+# White_Space property and the four ASCII separators it leaves out. One property test
+# per character is several times faster than a list of ranges.
+SPACE_CHARS = r"\p{IsWhite_Space}\x1c\x1d\x1e\x1f"
 SPACE = f"[{SPACE_CHARS}]"
+# White space that is not already one plain space.
+LOOSE_SPACE = f"{SPACE}(?:{SPACE}++|(?<! ))"
 WORD = r"[\p{L}\p{N}_]"
 WORD_START = f"(?<!{WORD})"
 WORD_END = f"(?!{WORD})"

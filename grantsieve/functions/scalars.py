@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as fv
-from .patterns import ANY_CASE, SPACE, SPACE_CHARS, WORD_END, WORD_START, portable
-from .text import let, or_null, strip_space
+from .patterns import ANY_CASE, LOOSE_SPACE, SPACE, SPACE_CHARS, WORD_END, WORD_START, portable
+from .text import let, or_empty, or_null, strip_space
 
 MONTH = "(?:" + "|".join(fv.MONTHS) + ")"
 # "Month d, yyyy" as written in running text
@@ -33,7 +33,7 @@ def iso_date(c: Column) -> Column:
     found = or_null(F.regexp_extract(c, f"{ANY_CASE}{WORD_START}{_DATE_LOOSE}{WORD_END}", 0))
     iso = let(found, lambda d: F.when(d.isNotNull(), assemble(d)))
     # a month spelt with a look-alike letter has no number: no date
-    return F.when(F.length(iso) == 10, iso)
+    return let(iso, lambda d: F.when(F.length(d) == 10, d))
 
 
 def date_as_written(c: Column) -> Column:
@@ -59,7 +59,7 @@ def normalize_url(c: Column) -> Column:
 
 def safe_filename(c: Column, max_length: int = fv.KEY_MAX_LENGTH) -> Column:
     """File-name form of a text: unsafe runs and spaces become ``_``; never empty."""
-    spaced = F.regexp_replace(strip_space(F.coalesce(c, F.lit(""))), f"{SPACE}+", " ")
+    spaced = F.regexp_replace(strip_space(or_empty(c)), LOOSE_SPACE, " ")
     name = F.translate(F.regexp_replace(spaced, "[^a-zA-Z0-9._ -]+", "_"), " ", "_")
     cut = let(
         name,

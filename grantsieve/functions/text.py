@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .patterns import ANY_CASE, SPACE, portable, required_literal
+from .patterns import ANY_CASE, LOOSE_SPACE, SPACE, portable, required_literal
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -21,13 +21,13 @@ def or_empty(c: Column) -> Column:
 
 
 def or_null(c: Column) -> Column:
-    """The empty string becomes null."""
-    return F.nullif(c, F.lit(""))
+    """The empty string becomes null (evaluating ``c`` once, unlike ``nullif``)."""
+    return F.get(F.filter(F.array(c), lambda x: x != ""), F.lit(0))
 
 
 def clean_text(c: Column) -> Column:
     """Collapse every run of Unicode white space to one space and strip; null -> ``""``."""
-    return F.trim(F.regexp_replace(or_empty(c), f"{SPACE}+", " "))
+    return F.trim(F.regexp_replace(or_empty(c), LOOSE_SPACE, " "))
 
 
 def strip_space(c: Column) -> Column:
@@ -64,14 +64,6 @@ def remove_phrases(c: Column, patterns: Iterable[str]) -> Column:
     return clean_text(c)
 
 
-def remove_boilerplate(text: Column, patterns: Iterable[str]) -> Column:
-    """``remove_phrases`` on clean text, skipped for texts that hold none of the phrases."""
-    patterns = tuple(patterns)
-    if not patterns:
-        return text
-    return F.when(may_match(fold_case(text), patterns), remove_phrases(text, patterns)).otherwise(text)
-
-
 def join_list(c: Column, separator: str = "; ") -> Column:
     """Join an array of strings; an empty or null list gives ``""``."""
     return or_empty(F.array_join(c, separator))
@@ -79,4 +71,4 @@ def join_list(c: Column, separator: str = "; ") -> Column:
 
 def longer_than(c: Column, gate: int) -> Column:
     """Keep text of more than ``gate`` characters, else null."""
-    return F.when(F.length(c) > gate, c)
+    return let(c, lambda x: F.when(F.length(x) > gate, x))

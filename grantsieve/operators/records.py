@@ -11,8 +11,8 @@ from ..functions import extract as E
 from ..functions import html as H
 from ..functions.fixed_values import Profile
 from ..functions.scalars import calendar_date
-from ..functions.tagging import joined_tags, tag_text, topic_tags
-from ..functions.text import fold_case, or_empty, or_null, remove_boilerplate
+from ..functions.tagging import Rules, joined_tags, rule_snippets, tag_text, topic_tags
+from ..functions.text import fold_case, may_match, or_empty, or_null, remove_phrases
 from .filters import readable_pages
 
 RECORD_FIELDS = (
@@ -25,7 +25,7 @@ RECORD_FIELDS = (
 def page_texts(
     pages: DataFrame, profile: Profile | None = None, keep: Sequence[str] = ("file_stem",)
 ) -> DataFrame:
-    """``text`` of every readable page, with the other fragments a record is made of.
+    """``text`` of every readable page, its ``folded`` form and the other parts of a record.
 
     Each ``select`` below uses the columns of the one before several times, so the
     optimizer keeps them apart and every text is built once per page. All fragments go
@@ -39,6 +39,12 @@ def page_texts(
         H.element_markup(visible, "title"),
         H.labelled_item(visible, profile.posted_class, profile.posted_label),
     )
+    has_boilerplate = (
+        may_match(F.col("_raw_folded"), profile.boilerplate)
+        if profile.boilerplate
+        else F.lit(False)
+    )
+    cut = remove_phrases(F.col("_raw"), profile.boilerplate)
     return (
         readable_pages(pages)
         .select(
@@ -51,13 +57,37 @@ def page_texts(
         )
         .select(
             *keep,
-            remove_boilerplate(F.get("_texts", F.lit(0)), profile.boilerplate).alias("text"),
+            F.get("_texts", F.lit(0)).alias("_raw"),
             F.coalesce(or_null(F.get("_texts", F.lit(1))), F.get("_texts", F.lit(2))).alias(
                 "full_title"
             ),
             F.get("_texts", F.lit(3)).alias("posted_item"),
             "source_url",
         )
+        .withColumn("_raw_folded", fold_case(F.col("_raw")))
+        .withColumn("_cut", has_boilerplate)
+        .withColumn("text", F.when(F.col("_cut"), cut).otherwise(F.col("_raw")))
+        .select(
+            *keep,
+            "text",
+            F.when(F.col("_cut"), fold_case(F.col("text")))
+            .otherwise(F.col("_raw_folded"))
+            .alias("folded"),
+            "full_title",
+            "posted_item",
+            "source_url",
+        )
+    )
+
+
+def with_topic_tags(df: DataFrame, text: str, rules: Rules, name: str = "tags") -> DataFrame:
+    """Add the tags of a text column as ``struct<category: array<label>>``."""
+    folded, snippets = F.col("_tag_folded"), F.col("_tag_snippets")
+    return (
+        df.withColumn("_tag_folded", fold_case(or_empty(F.col(text))))
+        .withColumn("_tag_snippets", rule_snippets(folded, rules))
+        .withColumn(name, topic_tags(snippets, folded, rules))
+        .drop("_tag_folded", "_tag_snippets")
     )
 
 
@@ -71,11 +101,10 @@ def parse_pages(
     """
     p = profile or Profile()
     keep = tuple(dict.fromkeys((*keep, "file_stem")))
-    text, folded = F.col("text"), F.col("_folded")
+    text, folded = F.col("text"), F.col("folded")
     full_title, stem = F.col("full_title"), F.col("file_stem")
     fields = (
         page_texts(pages, p, keep)
-        .withColumn("_folded", fold_case(text))
         .select(
             *keep,
             "source_url",
@@ -110,10 +139,11 @@ def parse_pages(
                       "total_award", "dates_raw")
         ]
     )
-    return (
-        fields.withColumn("_tag_text", fold_case(tagged))
-        .withColumn("semantic_tags", topic_tags(F.col("_tag_text"), p.rules))
-        .select(*keep, *RECORD_FIELDS[:-1], F.lit(p.parser_source).alias("parser_source"))
+    records = with_topic_tags(
+        fields.withColumn("_tag_text", tagged), "_tag_text", p.rules, "semantic_tags"
+    )
+    return records.select(
+        *keep, *RECORD_FIELDS[:-1], F.lit(p.parser_source).alias("parser_source")
     )
 
 

@@ -63,7 +63,6 @@ def newest_snapshot(spark: SparkSession, pattern: str) -> str | None:
 
 def payload_records(payload: Column) -> Column:
     """Number of records in a CSV payload: physical lines without the header, at least 0."""
-    body = strip_space(payload)
-    lines = F.size(F.split(body, r"\R|[\x1c-\x1e]"))
-    return F.when(body == "", F.lit(0)).otherwise(F.greatest(lines - 1, F.lit(0))).cast("bigint")
+    lines = F.size(F.split(strip_space(payload), r"\R|[\x1c-\x1e]"))
+    return F.greatest(lines - 1, F.lit(0)).cast("bigint")
 
