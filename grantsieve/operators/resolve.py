@@ -86,6 +86,7 @@ def resolve_attempts(attempts: DataFrame, retries: int = fv.DEFAULT_RETRIES) ->
 
     The first success among the first ``retries + 1`` attempts gives its status and
     body. Otherwise the last error is reported, ``HTTP <status>`` for a plain response.
+    Minimum and maximum combine before the shuffle: a URL sends one row per partition.
     """
     ok = F.coalesce(is_success(F.col("status")), F.lit(False))
     error = F.when(
@@ -95,8 +96,8 @@ def resolve_attempts(attempts: DataFrame, retries: int = fv.DEFAULT_RETRIES) ->
         attempts.filter(F.col("attempt") <= retries)
         .groupBy("url")
         .agg(
-            F.min_by(F.struct("status", "body"), F.when(ok, F.col("attempt"))).alias("_first"),
-            F.max_by(error, F.when(error.isNotNull(), F.col("attempt"))).alias("_error"),
+            F.min(F.when(ok, F.struct("attempt", "status", "body"))).alias("_first"),
+            F.max(F.when(error.isNotNull(), F.struct("attempt", error.alias("text")))).alias("_error"),
         )
     )
     return outcome.select(
@@ -104,7 +105,7 @@ def resolve_attempts(attempts: DataFrame, retries: int = fv.DEFAULT_RETRIES) ->
         F.col("_first").isNotNull().alias("ok"),
         F.col("_first.status").alias("http_status"),
         F.when(
-            F.col("_first").isNull(), F.coalesce(F.col("_error"), F.lit("Unknown error"))
+            F.col("_first").isNull(), F.coalesce(F.col("_error.text"), F.lit("Unknown error"))
         ).alias("error"),
         F.col("_first.body").alias("body"),
     )
