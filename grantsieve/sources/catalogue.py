@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,10 +58,19 @@ def job_rows(catalogue: DataFrame) -> DataFrame:
 def newest_snapshot(spark: SparkSession, pattern: str) -> str | None:
     """Path of the newest landed snapshot, by name; null when none has landed.
 
-    Snapshots may be files or folders of part files. Only names are read.
+    A snapshot is a file, or a folder of part files, whose name fits the last part of
+    ``pattern`` (``*`` and ``?``). Only names are read.
     """
-    files = spark.read.format("binaryFile").load(pattern).select("path")
-    return files.agg(F.max("path")).first()[0]
+    glyphs = {"*": "[^/]*", "?": "[^/]"}
+    name = "".join(glyphs.get(c, re.escape(c)) for c in pattern.rstrip("/").rpartition("/")[2])
+    try:
+        files = spark.read.format("binaryFile").load(pattern).select("path")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    snapshot = F.regexp_extract("path", f"^(.*/{name})(?:/[^/]*)?$", 1)
+    return files.agg(F.max(snapshot)).first()[0]
 
 
 def payload_records(payload: Column) -> Column:

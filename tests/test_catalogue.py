@@ -1,0 +1,109 @@
+import pytest
+from pyspark.sql import functions as F
+
+from grantsieve.operators.dedup import first_n, keep_first
+from grantsieve.operators.filters import drop_blank_urls
+from grantsieve.plans.pipelines import catalogue_jobs
+from grantsieve.sinks.writers import snapshot_path, write_catalogue_snapshot
+from grantsieve.sources.catalogue import job_rows, newest_snapshot, read_catalogue
+
+CSV = (
+    'Title,Program ID,Solicitation URL,NSF/PD Num,Other\r\n'
+    '" A, ""quoted"" title\nover two lines ",P1, b.org ,24-1,z\r\n'
+    'second,,"""https://a.org""",,\r\n'
+    'blank,x,  ,y,\r\n'
+    'été, ,https://b.org,24-2,\r\n'
+    'short row\r\n'
+)
+
+
+def test_read_catalogue(spark, tmp_path):
+    path = tmp_path / "nsf_a.csv"
+    path.write_text(CSV, encoding="utf-8", newline="")
+    rows = job_rows(read_catalogue(spark, str(path))).orderBy("ord").collect()
+    assert [(r.url, r.title, r.program_id, r.nsf_pd_num) for r in rows] == [
+        ("https://b.org", 'A, "quoted" title\nover two lines', "P1", "24-1"),
+        ("https://a.org", "second", None, None),
+        (None, "blank", "x", "y"),
+        ("https://b.org", "été", None, "24-2"),
+        (None, "short row", None, None),
+    ]
+    jobs = catalogue_jobs(spark, str(path)).orderBy("ord").collect()
+    assert [(j.url, j.nsf_pd_num) for j in jobs] == [("https://b.org", "24-1"), ("https://a.org", None)]
+
+
+def test_optional_columns_may_be_absent(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text("Solicitation URL\nhttps://a.org\n")
+    row = job_rows(read_catalogue(spark, str(path))).first()
+    assert (row.url, row.title, row.program_id, row.nsf_pd_num) == ("https://a.org", None, None, None)
+
+
+def test_catalogue_errors(spark, tmp_path):
+    bad = tmp_path / "bad.csv"
+    bad.write_text("Title,URL\nx,y\n")
+    with pytest.raises(ValueError, match="Solicitation URL"):
+        read_catalogue(spark, str(bad))
+    empty = tmp_path / "empty.csv"
+    empty.write_text("")
+    with pytest.raises(ValueError, match="header"):
+        read_catalogue(spark, str(empty))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_catalogue(spark, str(tmp_path / "missing.csv"))
+
+
+def test_newest_snapshot(spark, tmp_path):
+    assert newest_snapshot(spark, str(tmp_path / "nsf_*.csv")) is None
+    for name in ("nsf_20240101_000000.csv", "nsf_20250101_000000.csv", "other.csv"):
+        (tmp_path / name).write_text("Solicitation URL\n" + name + "\n")
+    newest = newest_snapshot(spark, str(tmp_path / "nsf_*.csv"))
+    assert newest.endswith("/nsf_20250101_000000.csv")
+    assert job_rows(read_catalogue(spark, newest)).first().url == "https://nsf_20250101_000000.csv"
+
+
+def test_snapshot_round_trip(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text(CSV, encoding="utf-8", newline="")
+    source = read_catalogue(spark, str(path))
+    landed = write_catalogue_snapshot(source, str(tmp_path / "snap"))
+    assert "snap_20" in landed
+    assert snapshot_path(spark, "base", "name.csv") == "name.csv"
+    back = read_catalogue(spark, landed)
+    columns = [c for c in source.columns if c not in ("ord", "source_file")]
+    texts = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns]
+    assert back.orderBy("ord").select(texts).collect() == source.orderBy("ord").select(texts).collect()
+
+
+def test_keep_first(spark):
+    df = spark.createDataFrame([("b", 1, "x"), ("a", 2, "y"), ("b", 3, "z")], "url string, ord int, t string")
+    once = keep_first(df, "url")
+    assert [(r.url, r.t) for r in once.orderBy("ord").collect()] == [("b", "x"), ("a", "y")]
+    assert keep_first(once, "url").orderBy("ord").collect() == once.orderBy("ord").collect()
+    assert once.columns == df.columns
+
+
+def test_keep_first_reduces_a_hot_key_before_the_shuffle(spark):
+    n = 30_000
+    df = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("url"),
+        F.col("id").alias("ord"), F.lit("t").alias("title"),
+    )
+    kept = keep_first(df, "url")
+    assert kept.count() == n - n // 3 + 1
+    assert kept.filter("url = 'hot'").first().ord == 0
+    plan = kept._jdf.queryExecution().toString()
+    assert "partial_min_by" in plan and "Window" not in plan
+
+
+def test_first_n(spark):
+    df = spark.createDataFrame([(i, str(i)) for i in (5, 3, 9, 1)], "ord int, url string")
+    assert [r.ord for r in first_n(df, 2).collect()] == [1, 3]
+    assert first_n(df, 10).count() == 4
+    for n in (0, -1):
+        with pytest.raises(ValueError):
+            first_n(df, n)
+
+
+def test_drop_blank_urls(spark):
+    df = spark.createDataFrame([(None,), ("x",)], "url string")
+    assert [r.url for r in drop_blank_urls(df).collect()] == ["x"]

@@ -1,0 +1,197 @@
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from grantsieve.functions import extract as E
+from grantsieve.functions import text as X
+from grantsieve.functions.fixed_values import MONTHS, Profile
+from grantsieve.functions.tagging import tag_text
+
+P = Profile()
+DATE = rf"\b(?:{'|'.join(MONTHS)})\s+\d{{1,2}},\s+\d{{4}}\b"
+
+
+def random_texts(parts, n=300, seed=7):
+    rng = random.Random(seed)
+    glue = [" ", " ", "", ". ", "\u00e9", "\U0001f600 ", ", "]
+    return [
+        " ".join("".join(rng.choice(parts) + rng.choice(glue) for _ in range(rng.randint(0, 14))).split())
+        for _ in range(n)
+    ]
+
+
+def test_slice_cases(apply):
+    def cut(starts, ends):
+        return lambda c: E.slice_between(c, starts, ends)
+
+    assert apply(["no marker", "", None], cut([r"\bx1\b"], ["y"])) == ["", "", ""]
+    assert apply(["p AB rest"], cut(["ab", "abc? ?r"], ["zz"])) == ["rest"]
+    assert apply(["p AB rest"], cut(["ab r", "ab"], ["zz"])) == ["est"]
+    assert apply(["s a e b s c e"], cut([r"\bs\b"], [r"\be\b"])) == ["a"]
+    assert apply(["sxe"], cut(["s"], [r"\bxe"])) == [""]
+    assert apply(["s to the end"], cut(["s "], [])) == ["to the end"]
+
+
+@pytest.mark.parametrize("gated", [False, True])
+def test_slice_against_model(apply, gated):
+    parts = ["II. Program Description", "ii.Program description:", "Overall Approach", "III. Award Information",
+             "IV. Eligibility", "IV. Eligibility Information", "word", "\u017f", "12", "V. Proposal Preparation"]
+    texts = random_texts(parts)
+
+    def model(t, starts, ends):
+        found = [m for p in starts if (m := re.search(p, t, re.I))]
+        if not found:
+            return ""
+        tail = t[min(found, key=lambda m: m.start()).end():]
+        stops = [m.start() for p in ends if (m := re.search(p, tail, re.I))]
+        return " ".join(tail[: min(stops, default=len(tail))].split())
+
+    for starts, ends in ((P.description_starts, P.description_ends),
+                         (P.eligibility_starts, P.eligibility_ends), (P.award_starts, P.award_ends)):
+        got = apply(
+            texts, lambda c: E.slice_between(c, starts, ends, X.fold_case(c) if gated else None)
+        )
+        assert got == [model(t, starts, ends) for t in texts]
+
+
+def test_identifier_and_title(spark):
+    cases = [
+        ("NSF 24-539: Deep Cells | NSF - U.S.", "s", "NSF 24-539", "Deep Cells"),
+        ("nsf24-539 : x", "s", "nsf24-539", "x"),
+        ("Cells | NSF 24-539", "s", "NSF 24-539", "Cells"),
+        ("", "nsf24539", "NSF 24-539", "nsf24539"),
+        ("T", "NSF_24-539__x", "", "T"),
+        ("", "a__b__nsf2412345", "NSF 24-12345", "a b nsf2412345"),
+        ("| NSF only", "a__b", "", "a b"),
+        ("About NSF 24-539: x", "s", "NSF 24-539", "About NSF 24-539: x"),
+        ("NSF 24-5x: y", "nsf2412", "", "NSF 24-5x: y"),
+        ("NSF 24-539:", "st", "NSF 24-539", "st"),
+    ]
+    df = spark.createDataFrame([(i, c[0], c[1]) for i, c in enumerate(cases)], "i int, t string, s string")
+    rows = df.select(
+        "i", E.identifier(F.col("t"), F.col("s")).alias("id"), E.title(F.col("t"), F.col("s")).alias("title")
+    ).orderBy("i").collect()
+    assert [(r.id, r.title) for r in rows] == [c[2:] for c in cases]
+
+
+def test_agency(apply):
+    cases = ["the National Science Foundation here", "national science foundation", ""]
+    assert apply(cases, lambda c: E.agency(c, P)) == [
+        "National Science Foundation (NSF)", "Unknown", "Unknown",
+    ]
+
+
+def test_posted_date(spark):
+    cases = [
+        ("Posted: May 4,2026", "Posted: June 1, 2020", "2026-05-04"),
+        ("Posted: soon", "Posted: June 1, 2020", None),
+        ("", "x posted : june 1, 2020 y", "2020-06-01"),
+        (None, "Posted: June 1,2020", None),
+        ("", "Reposted: June 1, 2020", None),
+    ]
+    df = spark.createDataFrame([(i, *c[:2]) for i, c in enumerate(cases)], "i int, item string, t string")
+    for folded in (None, X.fold_case(F.col("t"))):
+        got = df.select("i", E.posted_date(F.col("item"), F.col("t"), P, folded).alias("d")).orderBy("i")
+        assert [r.d for r in got.collect()] == [c[2] for c in cases]
+
+
+@pytest.mark.parametrize("gated", [False, True])
+def test_due_date_against_model(apply, gated):
+    parts = ["Full Proposal Deadline", "full proposal deadline(s)", "May 4, 2026", "June 12, 2027",
+             "Proposals Accepted Anytime", "xproposals accepted anytime", "filler " * 60, "July 4,2026",
+             "\U0001f600" * 200, "word"]
+
+    def model(t):
+        for m in re.finditer(P.due_label, t, re.I):
+            w = t[m.start(): m.start() + 500]
+            if re.search("proposals accepted anytime", w, re.I):
+                return P.anytime_phrase
+            if d := re.search(DATE, w, re.I):
+                return d.group()
+        return P.anytime_phrase if re.search(r"\bproposals accepted anytime\b", t, re.I) else ""
+
+    texts = random_texts(parts)
+    got = apply(texts, lambda c: E.due_date(c, P, X.fold_case(c) if gated else None))
+    assert [g.raw for g in got] == [model(t) for t in texts]
+    assert len({g.raw for g in got}) > 3
+    for g in got:
+        assert (g.iso is not None) == bool(re.match("[A-Z][a-z]+ [0-9]", g.raw))
+
+
+def test_description(apply):
+    forty = "Basic research training for nano physics"
+    head = "II. Program Description "
+    cases = {
+        head + forty: forty,
+        head + forty[:39]: "",
+        head + "May 4, 2026 " + forty: forty,
+        head + "May 4, 2026 " + forty[:39]: "",
+        head + "May 4, 2026 June 1, 2027 " + forty: "June 1, 2027 " + forty,
+        head + "III. Award Information " + head + forty: "",
+        "nothing": "",
+    }
+    assert apply(list(cases), lambda c: E.description(c, P)) == list(cases.values())
+
+
+def test_award_cases(apply):
+    cases = {
+        "$10 and $30 or $20": ("$30", "$10 - $20"),
+        "$10, $30, $20": ("$30,", "$10, - $20"),
+        "$5 and $5": ("$5", "$5"),
+        "$5 or $5, $1": ("$5,", "$1 - $5"),
+        "$0": (None, None),
+        "none": (None, None),
+        "": (None, None),
+        "$300,000 maximum or $2.5 billion": ("$300,000 m", "$2.5 b"),
+    }
+    got = apply(list(cases), E.award)
+    assert [(g.total, g.range) for g in got] == list(cases.values())
+    strict = apply(["$300,000 maximum or $2.5 million"], lambda c: E.award(c, True))[0]
+    assert (strict.total, strict.range) == ("$2.5 million", "$300,000")
+
+
+def test_award_against_model(apply):
+    money = r"\$\s*\d[\d,]*(?:\.\d+)?(?:\s*(?:[KMB]|million|billion))?"
+
+    def value(raw):
+        unit = next((s for u, s in (("m", 1e6), ("b", 1e9), ("k", 1e3)) if u in raw.lower()), 1.0)
+        return float(re.sub("[^0-9.]", "", raw)) * unit
+
+    def model(t):
+        ranked = sorted((m for m in re.findall(money, t, re.I) if value(m) > 0), key=value)
+        if not ranked:
+            return None, None
+        *rest, total = ranked
+        span = None if not rest else rest[0] if len(rest) == 1 else f"{rest[0]} - {rest[-1]}"
+        return " ".join(total.split()), span
+
+    parts = ["$5", "$5,", "$ 1,000", "$1000", "$0.00", "$2.5 million", "$3 K", "$4b", "text", "$7 by",
+             "$1.5.2", "$9 \u212aelvin"]
+    texts = random_texts(parts, 400)
+    got = apply(texts, E.award)
+    assert [(g.total, g.range) for g in got] == [model(t) for t in texts]
+
+
+def test_eligibility(apply):
+    long = "Universities and colleges of every state"
+    cases = {
+        f"IV. Eligibility Information: Intro. Who May Submit Proposals: {long} V. Proposal Preparation x": long,
+        f"IV. Eligibility {long} VI. NSF Proposal Processing": long,
+        "IV. Eligibility Who May Submit Proposals: Anyone. V. Proposal Preparation":
+            "Who May Submit Proposals: Anyone.",
+        f"IV. Eligibility All. V. Proposal Preparation. Who may submit proposals {long} C. Due Dates": long,
+        f"Who May Submit Proposals: {long}": "",
+        f"Who May Submit Proposals: {long} Merit Review Criteria": long,
+        "Who May Submit Proposals: short Merit Review Criteria": "",
+        "": "",
+    }
+    for folded in (False, True):
+        got = apply(list(cases), lambda c: E.eligibility(c, P, X.fold_case(c) if folded else None))
+        assert got == list(cases.values())
+
+
+def test_tag_text_joins_empty_fields(spark):
+    df = spark.createDataFrame([("machine", None, "learning")], "a string, b string, c string")
+    assert df.select(tag_text(*[F.col(c) for c in "abc"])).first()[0] == "machine  learning"

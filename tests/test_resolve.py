@@ -1,0 +1,87 @@
+from pyspark.sql import functions as F
+
+from grantsieve.contract import fixtures as fx
+from grantsieve.operators.resolve import (
+    fetch_log, first_failures, outcome_summary, page_index, resolve_attempts, resolve_pages,
+)
+from grantsieve.plans.pipelines import fetch_batch, jobs_of
+
+JOB = "ord int, url string, title string, program_id string, nsf_pd_num string"
+
+
+def jobs_and_pages(spark):
+    jobs = spark.createDataFrame(
+        [(0, "u1", "T", None, None), (1, "u2", None, None, "24-1"), (2, "u3", None, "P", None)], JOB
+    )
+    pages = spark.createDataFrame(
+        [(9, "u1", "late"), (4, "u1", "early"), (1, "u1", None), (7, "u2", None), (8, "u4", "x")],
+        "page_id int, url string, html string",
+    )
+    return jobs, pages
+
+
+def test_every_job_has_one_outcome(spark):
+    jobs, pages = jobs_and_pages(spark)
+    log = fetch_log(jobs, page_index(pages), "out/")
+    rows = log.orderBy("ord").collect()
+    assert [(r.url, r.ok, r.http_status, r.error) for r in rows] == [
+        ("u1", True, 200, None), ("u2", False, None, "Unknown error"), ("u3", False, None, "Unknown error"),
+    ]
+    assert rows[0].saved_path.startswith("out/T__") and rows[0].saved_path.endswith(".html")
+    assert rows[1].saved_path is None
+    assert tuple(outcome_summary(log).first()) == (3, 1, 2)
+    assert [tuple(r) for r in first_failures(log, 1).collect()] == [(1, "u2", "Unknown error")]
+
+
+def test_resolve_pages_takes_the_first_readable_page(spark):
+    jobs, pages = jobs_and_pages(spark)
+    got = resolve_pages(jobs, pages).collect()
+    assert [(r.url, r.html) for r in got] == [("u1", "early")]
+
+
+def test_summary_counts_every_job(spark, small, tmp_path):
+    jobs = jobs_of(fx.catalogue(spark, small))
+    pages = fx.table(spark, small, "pages")
+    done = fetch_batch(jobs, pages, str(tmp_path / "log"))
+    total, ok, failed = done.summary.first()
+    assert total == jobs.count() == ok + failed and ok > 0 and failed > 0
+    assert done.failures.count() == min(10, failed)
+    assert done.log.columns == ["ord", "url", "ok", "http_status", "error", "saved_path"]
+
+
+def test_fetch_log_appends(spark, small, tmp_path):
+    jobs, pages = jobs_and_pages(spark)
+    for _ in range(2):
+        fetch_batch(jobs, pages, str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 6
+
+
+def test_attempts(spark):
+    rows = [
+        ("a", 0, 500, None, None), ("a", 1, 500, None, None), ("a", 2, 200, None, "A"),
+        ("b", 0, 500, None, None), ("b", 1, 500, None, None), ("b", 2, 404, None, None),
+        ("c", 0, None, "Timeout: x", None), ("c", 1, 204, None, "C1"), ("c", 2, 200, None, "C2"),
+        ("d", 0, 503, None, None), ("d", 3, 200, None, "too late"),
+        ("e", 0, None, None, None),
+        ("f", 0, 301, None, None), ("f", 1, None, "ConnectionError: y", None),
+    ]
+    df = spark.createDataFrame(rows, "url string, attempt int, status int, error string, body string")
+    got = {r.url: tuple(r)[1:] for r in resolve_attempts(df).collect()}
+    assert got == {
+        "a": (True, 200, None, "A"),
+        "b": (False, None, "HTTP 404", None),
+        "c": (True, 204, None, "C1"),
+        "d": (False, None, "HTTP 503", None),
+        "e": (False, None, "Unknown error", None),
+        "f": (False, None, "ConnectionError: y", None),
+    }
+    more = {r.url: r.ok for r in resolve_attempts(df, retries=3).collect()}
+    assert more["d"] is True
+
+
+def test_page_index_never_carries_the_source(spark, small):
+    pages = fx.table(spark, small, "pages")
+    narrow = page_index(pages, all_readable=True)
+    assert "html" not in narrow._jdf.queryExecution().executedPlan().toString()
+    assert narrow.columns == ["url", "page_id"]
+    assert narrow.select(F.count_distinct("url")).first()[0] == narrow.count()
