@@ -25,18 +25,26 @@ WORD_END = f"(?!{WORD})"
 ANY_CASE = "(?isu)"
 
 
+def _quoted(replacement: str) -> str:
+    return replacement.replace("\\", r"\\")
+
+
 def portable(pattern: str) -> str:
     """Expand ``\\b``, ``\\s`` and ``\\d`` of a marker or rule into explicit classes.
 
     A ``\\b`` before a letter, a digit or a group is a word start; any other one is a
-    word end. Patterns therefore put ``\\b`` only at the outer edge of a word.
+    word end. Patterns therefore put ``\\b`` only at the outer edge of a word. The result
+    is meant for flags under which the dot matches every character (``ANY_CASE``).
     """
 
+    # At most positions the letter differs, so it is compared before looking back.
+    expanded = re.sub(r"\\b([A-Za-z0-9])(?![?*+{])", rf"\1(?<!{_quoted(WORD)}.)", pattern)
+
     def boundary(m: re.Match) -> str:
-        following = pattern[m.end() : m.end() + 1]
+        following = expanded[m.end() : m.end() + 1]
         return WORD_START if following.isalnum() or following == "(" else WORD_END
 
-    expanded = re.sub(r"\\b", boundary, pattern)
+    expanded = re.sub(r"\\b", boundary, expanded)
     return expanded.replace(r"\s", SPACE).replace(r"\d", "[0-9]")
 
 

@@ -18,9 +18,8 @@ _DATE_LOOSE = f"{MONTH}{SPACE}+[0-9]{{1,2}},{SPACE}*[0-9]{{4}}"
 
 def iso_date(c: Column) -> Column:
     """First English date as ``yyyy-MM-dd`` (not checked against the calendar), else null."""
-    numbers = F.create_map(
-        *[F.lit(x) for n, m in enumerate(fv.MONTHS, 1) for x in (m.lower(), f"{n:02d}")]
-    )
+    pairs = ",".join(f"{m.lower()}:{n:02d}" for n, m in enumerate(fv.MONTHS, 1))
+    numbers = F.str_to_map(F.lit(pairs))
 
     def assemble(found: Column) -> Column:
         # the matched text is short, so taking it apart again costs little

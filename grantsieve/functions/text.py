@@ -22,7 +22,7 @@ def or_empty(c: Column) -> Column:
 
 def or_null(c: Column) -> Column:
     """The empty string becomes null (evaluating ``c`` once, unlike ``nullif``)."""
-    return F.get(F.filter(F.array(c), lambda x: x != ""), F.lit(0))
+    return F.get(F.array_remove(F.array(c), ""), F.lit(0))
 
 
 def clean_text(c: Column) -> Column:

@@ -82,11 +82,10 @@ def page_texts(
 
 def with_topic_tags(df: DataFrame, text: str, rules: Rules, name: str = "tags") -> DataFrame:
     """Add the tags of a text column as ``struct<category: array<label>>``."""
-    folded, snippets = F.col("_tag_folded"), F.col("_tag_snippets")
     return (
         df.withColumn("_tag_folded", fold_case(or_empty(F.col(text))))
-        .withColumn("_tag_snippets", rule_snippets(folded, rules))
-        .withColumn(name, topic_tags(snippets, folded, rules))
+        .withColumn("_tag_snippets", rule_snippets(F.col("_tag_folded"), rules))
+        .withColumn(name, topic_tags("_tag_snippets", "_tag_folded", rules))
         .drop("_tag_folded", "_tag_snippets")
     )
 

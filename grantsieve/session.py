@@ -20,6 +20,8 @@ def local_session(cores: str | int = "*", app: str = "grantsieve") -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # call sites per column cost more than building the plans themselves
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
