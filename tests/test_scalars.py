@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from grantsieve.functions import scalars as S
 from grantsieve.functions import text as X
-from grantsieve.functions.patterns import portable, required_literal
+from grantsieve.functions.patterns import ANY_CASE, portable, required_literal
 from grantsieve.sources.catalogue import payload_records
 from grantsieve.operators.filters import looks_like_html
 
@@ -155,5 +155,9 @@ def test_required_literal():
     assert {p: required_literal(p) for p in cases} == cases
 
 
-def test_portable_boundaries():
-    assert portable(r"\bab\b").startswith("(?<!") and portable(r"\bab\b").endswith("])")
+def test_portable_boundaries(apply):
+    texts = ["ab", "xab", "\u00e9ab", "ab.", "abc", "e\u0301ab", "_ab", "ab2", "\U0001d4d0ab", ".AB-", "ab\u00b2",
+             "\U0001f600ab\U0001f600", "\nab\n", "a ab", "aab ab"]
+    for pattern in (r"\bab\b", r"\bab", r"ab\b", r"\b(ab|zz)\b", r"\ba?b\b", r"x?\bab"):
+        got = apply(texts, lambda c: c.rlike(ANY_CASE + portable(pattern)))
+        assert got == [bool(re.search(pattern, t, re.I)) for t in texts], pattern
