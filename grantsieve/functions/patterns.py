@@ -17,7 +17,9 @@ SPACE_CHARS = r"\p{IsWhite_Space}\x1c\x1d\x1e\x1f"
 SPACE = f"[{SPACE_CHARS}]"
 # White space that is not already one plain space.
 LOOSE_SPACE = f"{SPACE}(?:{SPACE}++|(?<! ))"
-WORD = r"[\p{L}\p{N}_]"
+# The letter U+10000, a member of \p{L} anyway, makes the engine look back by whole
+# characters instead of UTF-16 units.
+WORD = "[\\p{L}\\p{N}_\U00010000]"
 WORD_START = f"(?<!{WORD})"
 WORD_END = f"(?!{WORD})"
 

@@ -30,7 +30,7 @@ def test_declared_order_and_repeated_labels(spark):
 
 
 def test_word_boundaries(spark):
-    texts = ["ai", "\u00e9ai", "e\u0301ai", "ai_", "(AI)", "a\u0131", "a\u0130.", "ai\u00b2", "\x01ai", "ai\x01s"]
+    texts = ["ai", "\u00e9ai", "e\u0301ai", "ai_", "(AI)", "a\u0131", "a\u0130.", "ai\u00b2", "\x01ai", "ai\x01s", "\U0001d4d0ai", "\U0001f600ai\U0001f600"]
     assert [t["research_domains"] for t in tag(spark, texts, TOPIC_RULES)] == [
         model(t, TOPIC_RULES)["research_domains"] for t in texts
     ]
