@@ -124,6 +124,7 @@ def oracles() -> dict[str, str]:
         "s5_file_stem": f"SELECT k, file_stem || '.v1' AS stem FROM ({sol})",
         "s2_job_rows": rows,
         "s1_s4_k6_catalogue_round_trip": f"SELECT url, title, program_id, nsf_pd_num FROM ({rows})",
+        "s3_html_folder": "SELECT 'page_' || page_id AS file_stem, sha1(html || chr(10)) AS sha1 FROM pages",
         "p1_drop_blank_urls": f"SELECT ord, url FROM ({live})",
         "p2_reject_html_payload": "SELECT id FROM (SELECT 'page ' || page_id AS id, chr(10) || ' ' || html AS payload FROM pages "
         "UNION ALL SELECT 'doc ' || doc_id, text FROM documents) "
@@ -137,6 +138,7 @@ def oracles() -> dict[str, str]:
         "d1_keep_first": jobs,
         "d2_first_n": first_jobs,
         "d3_first_failures": f"SELECT ord, url, error FROM ({log}) WHERE NOT ok ORDER BY ord LIMIT 10",
+        "d4_page_order": f"SELECT file_stem FROM ({sol}) ORDER BY file_stem || '.html'",
         "d5_stable_order_of_amounts": t
         + f", m AS (SELECT k, {amounts} AS r FROM t), u AS (SELECT k, unnest(r) AS a, unnest(range(len(r))) AS rank FROM m) "
         "SELECT k, rank, a.raw AS raw, cast(a.pos - 1 AS bigint) AS pos FROM u",

@@ -13,10 +13,11 @@ from ..functions import scalars as S
 from ..functions import text as X
 from ..functions.fixed_values import Profile
 from ..functions.tagging import joined_tags, tag_text
-from ..operators.dedup import first_n, keep_first
+from ..operators.dedup import first_n, keep_first, page_order
 from ..operators.filters import drop_blank_urls, is_success, looks_like_html, quarantined_pages
 from ..operators.records import (
-    RECORD_FIELDS, flatten_records, page_texts, parse_pages, with_calendar_dates, with_topic_tags,
+    RECORD_FIELDS, flatten_records, page_texts, parse_pages, record_schema,
+    with_calendar_dates, with_topic_tags,
 )
 from ..operators.resolve import (
     fetch_log, first_failures, outcome_summary, page_index, resolve_attempts, resolve_pages,
@@ -26,7 +27,7 @@ from ..plans import pipelines as L
 from ..session import shared_folder
 from ..sinks import writers as K
 from ..sources.catalogue import job_rows, newest_snapshot, payload_records, read_catalogue
-from ..sources.pages import spread
+from ..sources.pages import read_html_folder, spread
 from . import fixtures as fx
 from .fixtures import table
 from .rules import WORD_RULES
@@ -171,6 +172,17 @@ def s1_s4_k6_catalogue_round_trip(spark, sf_dir):
     )
 
 
+@query
+def s3_html_folder(spark, sf_dir):
+    """The given pages as one text file each, read back as page files."""
+    out = shared_folder(spark, "files")
+    pages = fx.keyed_pages(spark, sf_dir).select("file_stem", "html")
+    pages.write.partitionBy("file_stem").text(out)
+    files = read_html_folder(spark, out, "*.txt")
+    stem = F.regexp_extract("path", "file_stem=([^/]+)/", 1)
+    return files.select(stem.alias("file_stem"), S.sha1_hex(F.col("html")).alias("sha1"))
+
+
 @query
 def p1_drop_blank_urls(spark, sf_dir):
     return drop_blank_urls(job_rows(fx.catalogue(spark, sf_dir))).select("ord", "url")
@@ -232,6 +244,11 @@ def d3_first_failures(spark, sf_dir):
     return first_failures(log(spark, sf_dir))
 
 
+@query
+def d4_page_order(spark, sf_dir):
+    return fx.solicitations(spark, sf_dir).orderBy(page_order()).select("file_stem")
+
+
 @query
 def d5_stable_order_of_amounts(spark, sf_dir):
     ranked = texts(spark, sf_dir).select(
@@ -464,8 +481,7 @@ def r1_calendar_dates(spark, sf_dir):
 def l1_k2_json_round_trip(spark, sf_dir):
     out = shared_folder(spark, "records")
     written = L.parse_batch(fx.solicitations(spark, sf_dir).drop("k"), out)
-    schema = parse_pages(fx.solicitations(spark, sf_dir)).select(*RECORD_FIELDS).schema
-    return flatten_records(spark.read.schema(schema).json(written.json))
+    return flatten_records(spark.read.schema(record_schema()).json(written.json))
 
 
 @query
@@ -479,10 +495,9 @@ def l1_k3_csv_round_trip(spark, sf_dir):
 @query
 def k1_json_per_record(spark, sf_dir):
     out = shared_folder(spark, "records")
-    records = parse_pages(fx.keyed_pages(spark, sf_dir))
-    K.write_json_per_record(records, out)
-    schema = records.select("file_stem", *RECORD_FIELDS).schema
-    return spark.read.schema(schema).json(out).select("file_stem", "title", "agency", "open_date")
+    K.write_json_per_record(parse_pages(fx.keyed_pages(spark, sf_dir)), out)
+    back = spark.read.schema(record_schema().add("file_stem", "string")).json(out)
+    return back.select("file_stem", "title", "agency", "open_date")
 
 
 @query

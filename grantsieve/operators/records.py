@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions import extract as E
 from ..functions import html as H
@@ -22,6 +23,16 @@ RECORD_FIELDS = (
 )
 
 
+def record_schema(profile: Profile | None = None) -> StructType:
+    """Schema of a record, for reading exports back."""
+    tags = StructType(
+        [StructField(c, ArrayType(StringType())) for c in (profile or Profile()).rules]
+    )
+    return StructType(
+        [StructField(c, tags if c == "semantic_tags" else StringType()) for c in RECORD_FIELDS]
+    )
+
+
 def page_texts(
     pages: DataFrame, profile: Profile | None = None, keep: Sequence[str] = ("file_stem",)
 ) -> DataFrame:

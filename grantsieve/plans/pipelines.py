@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,11 +134,11 @@ def fetch_batch(
 ) -> Fetched:
     """Resolve jobs, append the outcome log, and report on the rows just written.
 
-    The reports read a fresh batch folder below ``log_path``, so jobs are resolved once.
+    Every batch is a folder ``batch=<id>`` of the log table at ``log_path``. The reports
+    read that folder, so jobs are resolved once.
     """
-    spark = jobs.sparkSession
     outcome = fetch_log(jobs, page_index(pages, order), out_dir)
-    schema = outcome.schema
-    append_fetch_log(outcome, log_path)
-    written = spark.read.schema(schema).json(log_path)
+    batch = f"{log_path.rstrip('/')}/batch={uuid4().hex}"
+    append_fetch_log(outcome, batch)
+    written = jobs.sparkSession.read.schema(outcome.schema).json(batch)
     return Fetched(written, outcome_summary(written), first_failures(written))

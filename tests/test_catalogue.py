@@ -104,6 +104,21 @@ def test_first_n(spark):
             first_n(df, n)
 
 
+def test_first_n_of_many(spark):
+    df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("ord"), F.lit("x").alias("t"))
+    got = first_n(df, 1234, whole_rows_up_to=100)
+    assert got.columns == df.columns
+    assert sorted(r.ord for r in got.collect()) == list(range(1234))
+
+
+def test_catalogue_of_several_part_files(spark, tmp_path):
+    for i in range(3):
+        rows = "".join(f"https://a.org/{(i + j) % 4},{i}-{j}\n" for j in range(3))
+        (tmp_path / f"part-0000{i}.csv").write_text("Solicitation URL,Title\n" + rows)
+    got = {j.url[-1]: j.title for j in catalogue_jobs(spark, str(tmp_path)).collect()}
+    assert got == {"0": "0-0", "1": "0-1", "2": "0-2", "3": "1-2"}
+
+
 def test_drop_blank_urls(spark):
     df = spark.createDataFrame([(None,), ("x",)], "url string")
     assert [r.url for r in drop_blank_urls(df).collect()] == ["x"]
