@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import fixed_values as fv
 from .patterns import SPACE_CHARS
-from .text import clean_text, let, or_null, strip_space
+from .text import clean_text, let, or_null, sql_text, strip_space
 
 # Possessive groups run as loops in the regex engine: no recursion on long inputs, and
 # jumping from "<" to "<" beats testing for the end at every character.
@@ -56,60 +56,51 @@ def root_markup(visible: Column, root_elements: Iterable[str]) -> Column:
     return F.coalesce(*[or_null(f) for f in found], visible)
 
 
-def _entity_names() -> Column:
-    """Literal map of the standard HTML names, folded to a constant by the optimizer."""
+def _entity_names() -> str:
+    """Map of the standard HTML names, folded to a constant by the optimizer."""
     names = {n[:-1]: v for n, v in html5.items() if n.endswith(";")}
     ordered = {n: names[n] for n in _USUAL_NAMES} | names
     pairs = "\x1e".join(f"{n}\x1f{v}" for n, v in ordered.items())
-    return F.str_to_map(F.lit(pairs), F.lit("\x1e"), F.lit("\x1f"))
-
-
-def _code_point(token: Column) -> Column:
-    """Character of a numeric reference such as ``#8217`` or ``#x2019``."""
-    is_hex = F.lower(F.substring(token, 2, 1)) == "x"
-    digits = F.regexp_replace(token, "^#[xX]?0*", "0")
-    number = F.when(is_hex, F.conv(F.substring(digits, 1, 12), 16, 10)).otherwise(
-        F.substring(digits, 1, 12)
-    ).try_cast("bigint")
-
-    def character(n: Column) -> Column:
-        plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
-        return (
-            F.when(n.between(0x80, 0x9F), F.translate(plain, fv.CP1252_FROM, fv.CP1252_TO))
-            .when(n == 0xFEFF, F.lit("\ufeff"))
-            .when(n.between(0, 0xD7FF) | n.between(0xE000, 0x10FFFF), plain)
-            .otherwise(F.lit("\ufffd"))
-        )
-
-    return let(number, character)
+    return f"str_to_map({sql_text(pairs)}, '\x1e', '\x1f')"
+
+
+# Character of a numeric reference n such as #8217 or #x2019; k is its number.
+_DIGITS = "substr(regexp_replace(n, '^#[xX]?0*', '0'), 1, 12)"
+_CHARACTER = "decode(unhex(lpad(hex(k), 8, '0')), 'UTF-32')"
+_NUMERIC = f"""
+transform(
+  array(try_cast(if(lower(substr(n, 2, 1)) = 'x', conv({_DIGITS}, 16, 10), {_DIGITS}) AS bigint)),
+  k -> CASE
+    WHEN k BETWEEN 128 AND 159
+      THEN translate({_CHARACTER}, {sql_text(fv.CP1252_FROM)}, {sql_text(fv.CP1252_TO)})
+    WHEN k = 65279 THEN '\ufeff'
+    WHEN k BETWEEN 0 AND 55295 OR k BETWEEN 57344 AND 1114111 THEN {_CHARACTER}
+    ELSE '\ufffd' END)[0]"""
+# One piece p of the text behind an "&"; n is the reference name it starts with.
+_PIECE = f"""
+transform(
+  array(regexp_extract(p, {sql_text(_REFERENCE)}, 1)),
+  n -> CASE WHEN n = '' THEN concat('&', p) ELSE concat(
+    coalesce(
+      CASE WHEN startswith(n, '#') THEN {_NUMERIC} ELSE element_at({_entity_names()}, n) END,
+      concat('&', n)),
+    substr(p, length(n) + if(substr(p, length(n) + 1, 1) = ';', 2, 1))) END)[0]"""
+_DECODE = f"""
+t -> if(contains(t, '&'),
+  transform(
+    array(split(t, '&')),
+    parts -> concat(parts[0], array_join(transform(slice(parts, 2, size(parts)), p -> {_PIECE}), ''))
+  )[0], t)"""
 
 
 def decode_entities(c: Column) -> Column:
     """Replace character references, each exactly once (``&amp;lt;`` becomes ``&lt;``).
 
     The text is cut at ``&``; every piece after the first starts with a reference name.
-    An unknown name stays, without its semicolon.
+    An unknown name stays, without its semicolon. Stated as one SQL lambda, which builds
+    in one call.
     """
-    names = _entity_names()
-
-    def piece(p: Column) -> Column:
-        token = or_null(F.regexp_extract(p, _REFERENCE, 1))
-
-        def replaced(t: Column) -> Column:
-            rest = F.substr(p, F.length(t) + 1)
-            rest = F.when(rest.startswith(";"), F.substr(rest, F.lit(2))).otherwise(rest)
-            text = F.when(t.startswith("#"), _code_point(t)).otherwise(F.element_at(names, t))
-            return F.when(t.isNull(), F.concat(F.lit("&"), p)).otherwise(
-                F.concat(F.coalesce(text, F.concat(F.lit("&"), t)), rest)
-            )
-
-        return let(token, replaced)
-
-    def decoded(parts: Column) -> Column:
-        tail = F.transform(F.slice(parts, F.lit(2), F.size(parts)), piece)
-        return F.concat(F.get(parts, F.lit(0)), F.array_join(tail, ""))
-
-    return let(c, lambda t: F.when(t.contains("&"), let(F.split(t, "&"), decoded)).otherwise(t))
+    return F.get(F.call_function("transform", F.array(c), F.expr(_DECODE)), F.lit(0))
 
 
 def markup_text(markup: Column) -> Column:

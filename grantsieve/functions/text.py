@@ -15,6 +15,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def sql_text(value: str) -> str:
+    """SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def or_empty(c: Column) -> Column:
     """Null becomes the empty string."""
     return F.coalesce(c, F.lit(""))

@@ -39,13 +39,12 @@ def page_texts(
     """``text`` of every readable page, its ``folded`` form and the other parts of a record.
 
     Each ``select`` below uses the columns of the one before several times, so the
-    optimizer keeps them apart and every text is built once per page. All fragments go
-    through one expression, which keeps the plan small.
+    optimizer keeps them apart and every text is built once per page. Parts that a query
+    does not use are pruned; the three small ones share one expression.
     """
     profile = profile or Profile()
     visible = F.col("_visible")
-    fragments = F.array(
-        H.root_markup(visible, profile.root_elements),
+    small_parts = F.array(
         H.classed_heading(visible, profile.title_class),
         H.element_markup(visible, "title"),
         H.labelled_item(visible, profile.posted_class, profile.posted_label),
@@ -63,16 +62,17 @@ def page_texts(
         )
         .select(
             *keep,
-            F.transform(fragments, H.markup_text).alias("_texts"),
+            H.markup_text(H.root_markup(visible, profile.root_elements)).alias("_raw"),
+            F.transform(small_parts, H.markup_text).alias("_parts"),
             H.canonical_url(visible).alias("source_url"),
         )
         .select(
             *keep,
-            F.get("_texts", F.lit(0)).alias("_raw"),
-            F.coalesce(or_null(F.get("_texts", F.lit(1))), F.get("_texts", F.lit(2))).alias(
+            "_raw",
+            F.coalesce(or_null(F.get("_parts", F.lit(0))), F.get("_parts", F.lit(1))).alias(
                 "full_title"
             ),
-            F.get("_texts", F.lit(3)).alias("posted_item"),
+            F.get("_parts", F.lit(2)).alias("posted_item"),
             "source_url",
         )
         .withColumn("_raw_folded", fold_case(F.col("_raw")))

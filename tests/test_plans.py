@@ -10,7 +10,7 @@ def plan_of(df):
 def test_every_text_is_built_once(spark, small):
     plan = plan_of(parse_pages(fx.table(spark, small, "pages").selectExpr("url AS file_stem", "html")))
     # one evaluation of the fragment array, of the page markup and of the rule snippets
-    assert plan.count("AS _texts#") == 1 and plan.count("AS _visible#") == 1
+    assert plan.count("AS _parts#") == plan.count("AS _raw#") == 1 and plan.count("AS _visible#") == 1
     assert plan.count("script|style|template") == 1
     assert plan.count("AS _tag_snippets#") == 1
 
