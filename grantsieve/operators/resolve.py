@@ -30,8 +30,9 @@ def page_index(
     """
     if not all_readable:
         pages = pages.filter(F.col("html").isNotNull())
-    key = F.struct(*order)
-    return pages.groupBy("url").agg(F.min(key).alias("_page")).select(
+    if len(order) == 1:  # plain values aggregate by hash, structs by sorting
+        return pages.groupBy("url").agg(F.min(order[0]).alias(order[0]))
+    return pages.groupBy("url").agg(F.min(F.struct(*order)).alias("_page")).select(
         "url", *[F.col("_page")[c].alias(c) for c in order]
     )
 

@@ -56,11 +56,12 @@ def compare(spark, con, sf_dir: str, query, sql: str) -> str | None:
 
 if __name__ == "__main__":
     import __spark_entry__ as entry
-    from grantsieve.session import local_session
+    from pyspark.sql import SparkSession
 
     sf_dir = sys.argv[1]
     names = sys.argv[2:] or list(entry.queries())
-    spark = local_session(8)
+    # settings are left alone: results must not depend on them
+    spark = SparkSession.builder.master("local[8]").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf_dir)
     oracle = entry.oracle_sql()
