@@ -7,6 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -68,15 +69,84 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return full.select("a", "b", confirmed_counts(F.col("text_a"), F.col("text_b")).alias("c")).select("a", "b", "c.*")
 
 
+def foreign_shingles(text_hub: Column, text: Column) -> Column:
+    """array<bigint> of the shingles of text that the hub's text does not hold."""
+
+    @F.arrow_udf("array<bigint>")
+    def extras(hubs: pa.Array, texts: pa.Array) -> pa.Array:
+        rows, last, last_set = [], None, np.empty(0, np.uint64)
+        for x, y in zip(utf8(hubs), utf8(texts)):
+            if x != last:
+                last, last_set = x, shingle_set(lowered_words(x))
+            rows.append(np.setdiff1d(shingle_set(lowered_words(y)), last_set, assume_unique=True).view(np.int64))
+        return pa.array(rows, pa.list_(pa.int64()))
+
+    return extras(text_hub, text)
+
+
+def _open_pairs(
+    seated: DataFrame, measured: DataFrame, labels: DataFrame, texts: DataFrame, linking: Linking
+) -> DataFrame:
+    """Pairs (a, b) of one bucket and different components that may link: all that can, without
+    listing all pairs of a bucket.
+
+    Let H be the hub's set, m_x = |H - x| and e_x = x - H. Then |x & y| is at most
+    |H| - max(m_x, m_y) + |e_x & e_y|, and a link needs |x & y| >= p(|x| + |y|) / (100 + p).
+    So a link of x needs `need` shingles in e_x & e_y, where y counts at its least possible size:
+    * need > 0: in any one order, the first |e_x| - need + 1 of e_x hold a shingle that y's
+      hold too. The order is rarest first; pairs meet by join on the shingle.
+    * otherwise both sizes and m may allow a link without a common foreign shingle; these few
+      pairs meet by their hub under that very condition.
+    """
+    p = linking.percent
+    labelled = seated.join(labels.withColumnRenamed("v", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    mixed = labelled.filter("id <> hub").groupBy("key").agg(
+        F.min("label").alias("x"), F.max("label").alias("y")
+    ).filter("x <> y").select("key")
+    spokes = labelled.filter("id <> hub").join(mixed, "key", "left_semi").select(
+        "hub", "id", "label", F.col("n_shingles").alias("n")
+    ).distinct()
+    sizes = measured.withColumnsRenamed({"a": "hub", "b": "id"})
+    spokes = spokes.join(sizes, ["hub", "id"]).withColumn("h", F.expr("either + both - n")).withColumn(
+        "missing", F.expr("h - both")
+    )
+    need = f"ceil({p} * (n + ceil({p} * n / 100.0)) / {100 + p}.0) - h + missing"
+    spokes = spokes.withColumn("need", F.expr(need).cast("int")).filter("n - both + 1 > need")
+    spokes = written(spokes, "spokes")
+
+    full = spokes.join(texts.select("id", "text"), "id").join(
+        texts.select(F.col("id").alias("hub"), F.col("text").alias("text_hub")), "hub"
+    )
+    foreign = written(
+        full.select("hub", "id", "label", "n", "need", F.explode(foreign_shingles(F.col("text_hub"), F.col("text"))).alias("s")),
+        "foreign",
+    )
+    counts = foreign.groupBy("hub", "s").agg(F.count("*").alias("c"), F.min("label").alias("x"), F.max("label").alias("y"))
+    # a shingle in one component only leads nowhere, but has its place in the order
+    in_order = W.partitionBy("hub", "id").orderBy("c", "s")
+    first = foreign.join(counts, ["hub", "s"]).withColumn("rank", F.row_number().over(in_order)).withColumn(
+        "of", F.count("*").over(W.partitionBy("hub", "id"))
+    ).filter("rank <= of - greatest(need, 1) + 1 and x <> y").select("hub", "s", "id", "label", "n")
+    first = written(first, "first")
+    near_size = f"l.id < r.id and l.label <> r.label and 100 * least(l.n, r.n) >= {p} * greatest(l.n, r.n)"
+    sharing = first.alias("l").join(first.alias("r"), F.expr(f"l.hub = r.hub and l.s = r.s and {near_size}"))
+    close = spokes.filter("need <= 0")
+    without = close.alias("l").join(
+        close.alias("r"),
+        F.expr(f"l.hub = r.hub and {near_size} and {p} * (l.n + r.n) <= {100 + p} * (l.h - greatest(l.missing, r.missing))"),
+    )
+    pair = (F.col("l.id").alias("a"), F.col("r.id").alias("b"))
+    return sharing.select(*pair).union(without.select(*pair)).distinct()
+
+
 def near_duplicates(docs: DataFrame, linking: Linking = Linking()) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable), kept.
 
     1. Texts of one word sequence become one class, named by its smallest doc_id.
     2. Classes meet in the buckets of their bands. In each bucket all members are compared
        with its hub, the member that shares most places in buckets.
-    3. Members of a bucket that are not connected yet are compared with each other. Distances
-       of Jaccard are a metric, so a pair whose distances from the hub differ by more than
-       the link distance needs no comparison. No pair that could link is left out.
+    3. Members of a bucket that are not connected yet are compared with each other, where what
+       is known of them and the hub leaves a link possible. No pair that could link is left out.
     4. Components of the links, carried back to documents.
 
     Empty texts and rows without a doc_id are linked with nothing; the latter are kept and
@@ -119,28 +189,7 @@ def near_duplicates(docs: DataFrame, linking: Linking = Linking()) -> DataFrame:
     links = measured.filter(linked).select("a", "b")
     labels = connected_components(links)
 
-    # what one bucket holds of several components
-    distances = measured.select(
-        F.col("a").alias("hub"), F.col("b").alias("id"), (1 - F.col("both") / F.col("either")).alias("d")
-    )
-    labelled = (
-        seated.join(labels.withColumnRenamed("v", "id"), "id", "left")
-        .withColumn("label", F.coalesce("label", "id"))
-        .join(distances, ["hub", "id"], "left").withColumn("d", F.coalesce("d", F.lit(0.0)))
-    )
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key")
-    open_places = written(labelled.filter("id <> hub").join(mixed, "key", "left_semi"), "open")
-    reach = (100 - linking.percent) / 100 + 1e-9
-    left, right = open_places.alias("l"), open_places.alias("r")
-    possible = left.join(
-        right,
-        F.expr(
-            "l.key = r.key and l.id < r.id and l.label <> r.label"
-            f" and 100 * least(l.n_shingles, r.n_shingles) >= {linking.percent} * greatest(l.n_shingles, r.n_shingles)"
-            f" and abs(l.d - r.d) <= {reach}"
-        ),
-    ).select(F.col("l.id").alias("a"), F.col("r.id").alias("b")).distinct()
-    more = _confirm(possible, texts).filter(linked).select("a", "b")
+    more = _confirm(_open_pairs(seated, measured, labels, texts, linking), texts).filter(linked).select("a", "b")
     links = written(links.union(more), "links")
 
     # from classes to documents
