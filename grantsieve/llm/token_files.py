@@ -12,7 +12,7 @@ from uuid import uuid4
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark import TaskContext
@@ -82,6 +82,7 @@ class TokenFiles:
 
     folder: str
     dtype: str
+    n_shards: int
     shards: DataFrame
 
 
@@ -141,16 +142,19 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary_path: str) -> TokenFil
     rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text")
     spark = docs.sparkSession
     rows.mapInArrow(write, SHARD).write.parquet(f"{folder}/shards")
-    return TokenFiles(folder, encoder(vocabulary_path).dtype.str, with_bases(spark.read.parquet(f"{folder}/shards")))
+    shards = with_bases(spark.read.schema(SHARD).parquet(f"{folder}/shards").collect())
+    return TokenFiles(
+        folder, encoder(vocabulary_path).dtype.str, len(shards), spark.createDataFrame(shards, f"{SHARD}, base bigint")
+    )
 
 
-def with_bases(shards: DataFrame) -> DataFrame:
-    """Prefix sums of the shards' ids: one short row per shard on the driver."""
-    rows, base, out = shards.orderBy("shard").collect(), 0, []
-    for r in rows:
+def with_bases(shards: list[Row]) -> list[tuple]:
+    """Prefix sums of the shards' ids: one short row per shard (task) on the driver."""
+    base, out = 0, []
+    for r in sorted(shards):
         out.append((*r, base))
         base += r["n_tokens"]
-    return shards.sparkSession.createDataFrame(out, f"{SHARD}, base bigint")
+    return out
 
 
 DOCUMENTS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
@@ -198,5 +202,6 @@ def read_documents(spark: SparkSession, files: TokenFiles) -> DataFrame:
                         )
                         done, before = done + n, int(ends[-1])
 
-    shards = files.shards.filter("n_docs > 0").repartition("shard")
+    # a number of its own, as shards are tiny rows that would else be read by one task
+    shards = files.shards.filter("n_docs > 0").repartition(max(1, files.n_shards), "shard")
     return shards.mapInArrow(read, DOCUMENTS)
