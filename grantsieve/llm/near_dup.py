@@ -90,13 +90,14 @@ def _open_pairs(
     """Pairs (a, b) of one bucket and different components that may link: all that can, without
     listing all pairs of a bucket.
 
-    Let H be the hub's set, m_x = |H - x| and e_x = x - H. Then |x & y| is at most
-    |H| - max(m_x, m_y) + |e_x & e_y|, and a link needs |x & y| >= p(|x| + |y|) / (100 + p).
-    So a link of x needs `need` shingles in e_x & e_y, where y counts at its least possible size:
+    Let H be any set that stands for a hub's group: here the hub's shingles and those that over
+    a quarter of the group holds. Let k_x = |x & H| and e_x = x - H. Then |x & y| is at most
+    min(k_x, k_y) + |e_x & e_y|, and a link needs |x & y| >= p(|x| + |y|) / (100 + p). So x
+    needs `need` shingles in e_x & e_y, y being taken at its least possible size:
     * need > 0: in any one order, the first |e_x| - need + 1 of e_x hold a shingle that y's
-      hold too. The order is rarest first; pairs meet by join on the shingle.
-    * otherwise both sizes and m may allow a link without a common foreign shingle; these few
-      pairs meet by their hub under that very condition.
+      hold too. The order is rarest first; pairs meet by join on the shingle, which a quarter
+      of the group holds at most.
+    * else the pair may do without; such pairs meet by their hub, where k_x and k_y suffice.
     """
     p = linking.percent
     labelled = seated.join(labels.withColumnRenamed("v", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
@@ -106,34 +107,38 @@ def _open_pairs(
     spokes = labelled.filter("id <> hub").join(mixed, "key", "left_semi").select(
         "hub", "id", "label", F.col("n_shingles").alias("n")
     ).distinct()
-    sizes = measured.withColumnsRenamed({"a": "hub", "b": "id"})
-    spokes = spokes.join(sizes, ["hub", "id"]).withColumn("h", F.expr("either + both - n")).withColumn(
-        "missing", F.expr("h - both")
-    )
-    need = f"ceil({p} * (n + ceil({p} * n / 100.0)) / {100 + p}.0) - h + missing"
-    spokes = spokes.withColumn("need", F.expr(need).cast("int")).filter("n - both + 1 > need")
-    spokes = written(spokes, "spokes")
+    sizes = measured.select(F.col("a").alias("hub"), F.col("b").alias("id"), "both")
+    spokes = written(spokes.join(sizes, ["hub", "id"]), "spokes")
+    groups = spokes.groupBy("hub").agg(F.count("*").alias("members"))
 
     full = spokes.join(texts.select("id", "text"), "id").join(
         texts.select(F.col("id").alias("hub"), F.col("text").alias("text_hub")), "hub"
     )
     foreign = written(
-        full.select("hub", "id", "label", "n", "need", F.explode(foreign_shingles(F.col("text_hub"), F.col("text"))).alias("s")),
-        "foreign",
+        full.select("hub", "id", F.explode(foreign_shingles(F.col("text_hub"), F.col("text"))).alias("s")), "foreign"
+    )
+    counts = foreign.groupBy("hub", "s").agg(F.count("*").alias("c")).join(groups, "hub")
+    foreign = written(
+        foreign.join(counts, ["hub", "s"]).select("hub", "id", "s", "c", F.expr("4 * c > members").alias("common")), "counted"
+    )
+    held = foreign.filter("common").groupBy("hub", "id").agg(F.count("*").alias("more"))
+    need = f"ceil({p} * (n + ceil({p} * n / 100.0)) / {100 + p}.0) - k"
+    spokes = spokes.join(held, ["hub", "id"], "left").withColumn("k", F.expr("both + coalesce(more, 0)"))
+    spokes = written(spokes.withColumn("need", F.expr(need).cast("int")).drop("both", "more"), "needs")
+
+    own = W.partitionBy("hub", "id")
+    first = foreign.filter("not common and c > 1").join(spokes, ["hub", "id"])
+    # shingles of one member only come first in the order and lead nowhere: they count, unlisted
+    first = first.withColumn("rank", F.row_number().over(own.orderBy("c", "s")) + F.col("n") - F.col("k") - F.count("*").over(own))
+    first = written(
+        first.filter("rank <= n - k - greatest(need, 1) + 1").select("hub", "s", "id", "label", "n", "k"), "first"
     )
-    counts = foreign.groupBy("hub", "s").agg(F.count("*").alias("c"), F.min("label").alias("x"), F.max("label").alias("y"))
-    # a shingle in one component only leads nowhere, but has its place in the order
-    in_order = W.partitionBy("hub", "id").orderBy("c", "s")
-    first = foreign.join(counts, ["hub", "s"]).withColumn("rank", F.row_number().over(in_order)).withColumn(
-        "of", F.count("*").over(W.partitionBy("hub", "id"))
-    ).filter("rank <= of - greatest(need, 1) + 1 and x <> y").select("hub", "s", "id", "label", "n")
-    first = written(first, "first")
     near_size = f"l.id < r.id and l.label <> r.label and 100 * least(l.n, r.n) >= {p} * greatest(l.n, r.n)"
     sharing = first.alias("l").join(first.alias("r"), F.expr(f"l.hub = r.hub and l.s = r.s and {near_size}"))
     close = spokes.filter("need <= 0")
     without = close.alias("l").join(
         close.alias("r"),
-        F.expr(f"l.hub = r.hub and {near_size} and {p} * (l.n + r.n) <= {100 + p} * (l.h - greatest(l.missing, r.missing))"),
+        F.expr(f"l.hub = r.hub and {near_size} and {p} * (l.n + r.n) <= {100 + p} * least(l.k, r.k)"),
     )
     pair = (F.col("l.id").alias("a"), F.col("r.id").alias("b"))
     return sharing.select(*pair).union(without.select(*pair)).distinct()
