@@ -120,22 +120,23 @@ def mix(
     texts) weigh nothing: they are drawn at the rate of the budget. Null and unlisted
     values of a dimension count as `other`.
     """
-    return with_probability(docs, targets, columns, tokens, key, "_p").filter("_u < _p").drop("_p", "_u")
+    p, drawn = calibrated(docs, targets, columns, tokens, key)
+    return docs.filter(drawn < p)
 
 
-def with_probability(
+def calibrated(
     docs: DataFrame, targets: Targets = Targets(), columns: dict[str, Column] | None = None,
-    tokens: Column | None = None, key: Column | None = None, name: str = "_p",
-) -> DataFrame:
-    """docs with the probability of each row and, as _u, its draw in [0, 1)."""
+    tokens: Column | None = None, key: Column | None = None,
+) -> tuple[Column, Column]:
+    """A row's probability, and its draw in [0, 1)."""
     columns = columns or {"source": F.col("source"), "lang": F.col("lang"), "topic": topic_of(F.col("text"))}
     tokens = n_words(F.col("text")) if tokens is None else tokens
+    key = F.coalesce(F.col("doc_id").cast("string"), F.col("text")) if key is None else key
     by_cell = probabilities(docs, targets, columns, tokens)
     p = F.lit(targets.budget)
     if by_cell:
-        keys = F.concat_ws("\x1f", *[c for c in _dimensions(targets, columns)])
+        keys = F.concat_ws("\x1f", *_dimensions(targets, columns))
         pairs = [F.lit(x) for cell, v in by_cell.items() for x in ("\x1f".join(cell), v)]
-        p = F.coalesce(F.try_element_at(F.create_map(*pairs), keys), F.lit(targets.budget))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.col("text")) if key is None else key
+        p = F.coalesce(F.try_element_at(F.create_map(*pairs), keys), p)
     unit = F.xxhash64(F.lit(targets.seed), key)
-    return docs.withColumns({name: p, "_u": F.pmod(unit, F.lit(1 << 52)) / F.lit(float(1 << 52))})
+    return p, F.pmod(unit, F.lit(1 << 52)) / F.lit(float(1 << 52))

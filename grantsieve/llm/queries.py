@@ -44,8 +44,8 @@ def op2_mixing(spark, sf_dir):
         "weights",
     )
     columns = {d: F.col(d) for d in ("source", "lang", "topic")}
-    drawn = mixing.with_probability(docs, mixing.Targets(), columns, F.col("n_tokens"), F.col("key"), "p")
-    return drawn.filter("_u < p").drop("_u", "key")
+    p, drawn = mixing.calibrated(docs, mixing.Targets(), columns, F.col("n_tokens"), F.col("key"))
+    return docs.filter(drawn < p).select("doc_id", "source", "lang", "topic", "n_tokens", p.alias("p"))
 
 
 @query

@@ -1,0 +1,164 @@
+"""Operators that bring documents together, against plain versions and DuckDB."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from oracle_compare import compare, duck
+
+from grantsieve.llm import chat, line_dedup, mixing, near_dup
+from grantsieve.llm.oracles import ORACLES
+from grantsieve.llm.queries import QUERIES
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_matches_duckdb(spark, small, name):
+    assert compare(spark, duck(small), small, QUERIES[name], ORACLES[name]) is None
+
+
+# ---- lines ------------------------------------------------------------------------------
+
+
+def plain_lines(rows, min_chars=40, min_docs=5):
+    key = lambda line: "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+    holders = {}
+    for d, t, *_ in rows:
+        for line in (t or "").split("\n"):
+            if d is not None and len(key(line)) >= min_chars:
+                holders.setdefault(key(line), set()).add(d)
+    out = []
+    for d, t, *_ in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if d is None or len(h := holders.get(key(x), ())) < min_docs or max(h) == d]
+        out.append((d, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+def test_line_dedup_edges(edge, edge_rows, empty):
+    got = sorted((tuple(r) for r in line_dedup.dedup_lines(edge).collect()), key=repr)
+    assert got == plain_lines(edge_rows)
+    assert sum(r[2] for r in got) > 0
+    assert line_dedup.digest(empty).count() == 0
+
+
+def test_bitmap_of_kept_runs(spark):
+    a, b = "a" * 50, "b" * 50
+    rows = [(i, "\n".join([a, "x", a, b, f"own {i}", a])) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    keep = {r["doc_id"]: [tuple(k) for k in r["keep"]] for r in line_dedup.keep_bitmaps(df).collect()}
+    assert keep == {i: [(1, 1), (4, 1)] for i in range(5)}
+
+
+# ---- near duplicates --------------------------------------------------------------------
+
+
+def plain_components(rows):
+    def shingles(t):
+        w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [(d, shingles(t)) for d, t, *_ in rows]
+    parent = {d: d for d, _ in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if a is not None and b is not None and x and y and 100 * len(x & y) >= 85 * len(x | y):
+                parent[max(root(a), root(b))] = min(root(a), root(b))
+    return sorted(((d, len(s), root(d), d is None or root(d) == d) for d, s in sets), key=repr)
+
+
+def test_near_duplicates_edges(edge, edge_rows, empty):
+    got = sorted((tuple(r) for r in near_dup.near_duplicates(edge).collect()), key=repr)
+    assert got == plain_components(edge_rows)
+    assert near_dup.near_duplicates(empty).count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_groups_of_near_copies(spark, seed):
+    """Copies at all distances from a base, copies of copies, cuts, and texts that share a passage."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    base = [word() for _ in range(120)]
+    passage = [word() for _ in range(60)]
+    texts = []
+    for _ in range(130):
+        source = base if not texts or rng.random() < 0.7 else rng.choice(texts)
+        t = list(source)
+        for _ in range(rng.randrange(7)):
+            t[rng.randrange(len(t))] = word()
+        if rng.random() < 0.2:
+            t = t[: len(t) - rng.randrange(25)]
+        texts.append(t)
+    texts += [passage + [word() for _ in range(rng.randrange(3, 40))] for _ in range(60)]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted((tuple(r) for r in near_dup.near_duplicates(df).collect()), key=repr) == plain_components(rows)
+
+
+# ---- mixing -----------------------------------------------------------------------------
+
+
+def test_rake_meets_margins():
+    cells = np.array([[40.0, 10.0], [20.0, 30.0]])
+    draw = mixing.rake(cells, [np.array([0.5, 0.5]), np.array([0.4, 0.6])], 0.5, 1e-9, 500)
+    assert np.allclose(draw.sum(axis=1), [25, 25]) and np.allclose(draw.sum(axis=0), [20, 30])
+    assert (draw <= cells).all()
+    # the odds ratio of the cells stays
+    ratio = lambda c: c[0, 0] * c[1, 1] / (c[0, 1] * c[1, 0])
+    assert np.isclose(ratio(draw), ratio(cells))
+    short = mixing.rake(cells, [np.array([0.9, 0.1]), np.array([0.5, 0.5])], 0.9, 1e-9, 500)
+    assert (short <= cells + 1e-9).all() and np.allclose(short[0], cells[0])
+
+
+def test_mix_edges(spark, edge, edge_rows, empty):
+    drawn = mixing.mix(edge)
+    assert drawn.columns == edge.columns
+    assert drawn.count() == mixing.mix(edge.repartition(5)).count()
+    assert mixing.mix(empty).count() == 0
+    nothing = edge.filter("text is null")
+    assert mixing.mix(nothing, mixing.Targets(budget=1.0)).count() == 2
+
+
+def test_drawn_shares(spark):
+    rows = [(i, "one two three four", "en", f"src{i % 2}") for i in range(8000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    t = mixing.Targets(shares={"source": {"src0": 0.25, "other": 0.75}, "lang": {"en": 1.0}}, budget=0.6)
+    columns = {"source": df["source"], "lang": df["lang"]}
+    out = mixing.mix(df, t, columns).groupBy("source").count().collect()
+    n = {r["source"]: r["count"] for r in out}
+    assert abs(n["src0"] - 1200) < 150 and abs(n["src1"] - 3600) < 150
+
+
+# ---- chat -------------------------------------------------------------------------------
+
+TURNS = [
+    (1, 0, "system", "be kind"), (1, 1, "user", "</s>[INST] ok [/INST]"), (1, 2, "assistant", "\\[ROLE] <s>\\\\"),
+    (2, 0, "assistant", "first"), (2, 1, "tool", "[TEXT]x\n"), (2, 2, None, None), (2, 2, None, None), (2, None, "user", ""),
+    (None, 0, "user", "<<SYS>>\n\n<</SYS>>"), (3, 5, "we[TEXT]ird\\", " "), (4, 0, "assistant", ""),
+]
+
+
+def test_chat_round_trip(spark):
+    df = spark.createDataFrame(TURNS, "conv_id bigint, turn bigint, role string, text string").selectExpr("*", "1 as position", "2 as valid")
+    formatted = chat.format_turns(df)
+    got = {r["conv_id"]: r for r in chat.digest(formatted).collect()}
+    for conv in {t[0] for t in TURNS}:
+        own = sorted((t for t in TURNS if t[0] == conv), key=lambda t: (t[1] is not None, t[1] or 0, t[2] or "", t[3] or ""))
+        turns = "".join(f"{r or ''}\n{x or ''}\n" for _, _, r, x in own)
+        loss = "".join(x or "" for _, _, r, x in own if r == "assistant")
+        g = got[conv]
+        assert g["n_turns"] == len(own) and g["turns_sha256"] == hashlib.sha256(turns.encode()).hexdigest()
+        assert g["loss_chars"] == len(loss) and g["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+    assert got[1]["n_invalid"] == 0 and got[2]["n_invalid"] == 3
+    controls = chat.Template().controls
+    for r in formatted.collect():
+        assert not any(c in r["segments"][1]["text"] for c in controls)
+    assert chat.digest(chat.format_turns(df.limit(0))).count() == 0
