@@ -12,7 +12,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.pages import spread
 
 Layer = list[tuple[str, str]]
 
@@ -246,7 +245,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def solicitations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``k, file_stem, url, html``: one page per order."""
-    orders = spread(table(spark, sf_dir, "orders"))
+    # pages are composed from short rows, which cost little to deal out first
+    orders = table(spark, sf_dir, "orders").repartition("o_orderkey")
     customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
     df = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         nation, customer.c_nationkey == nation.n_nationkey
@@ -286,5 +286,5 @@ def attempts_sql() -> str:
 
 def keyed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given pages with a file stem."""
-    pages = spread(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
     return pages.selectExpr("page_id", "'page_' || cast(page_id as string) AS file_stem", "url", "html")

@@ -137,6 +137,8 @@ def oracles() -> dict[str, str]:
         "p6_length_gate": f"SELECT doc_id, CASE WHEN length({q.clean('text')}) > 30 THEN {q.clean('text')} END AS kept FROM documents",
         "d1_keep_first": jobs,
         "d2_first_n": first_jobs,
+        "p7_empty_batch": "SELECT 'all' AS batch, count(*) AS records, count(*) > 0 AS exported FROM pages "
+        "UNION ALL SELECT 'none', 0, false",
         "d3_first_failures": f"SELECT ord, url, error FROM ({log}) WHERE NOT ok ORDER BY ord LIMIT 10",
         "d4_page_order": f"SELECT file_stem FROM ({sol}) ORDER BY file_stem || '.html'",
         "d5_stable_order_of_amounts": t

@@ -27,7 +27,7 @@ from ..plans import pipelines as L
 from ..session import shared_folder
 from ..sinks import writers as K
 from ..sources.catalogue import job_rows, newest_snapshot, payload_records, read_catalogue
-from ..sources.pages import read_html_folder, spread
+from ..sources.pages import read_html_folder
 from . import fixtures as fx
 from .fixtures import table
 from .rules import WORD_RULES
@@ -43,7 +43,7 @@ def query(f: Query) -> Query:
 
 
 def documents(spark, sf_dir, *columns: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", *columns))
+    return table(spark, sf_dir, "documents").select("doc_id", *columns)
 
 
 def texts(spark, sf_dir) -> DataFrame:
@@ -513,6 +513,16 @@ def k5_land_pages_round_trip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query
+def p7_empty_batch(spark, sf_dir):
+    """A batch of all given pages and one without pages: records, and whether it was exported."""
+    rows = []
+    for batch, pages in (("all", fx.keyed_pages(spark, sf_dir)), ("none", fx.keyed_pages(spark, sf_dir).limit(0))):
+        done = L.parse_batch(pages, shared_folder(spark, "batch"))
+        rows.append((batch, done.records, done.json is not None and done.csv is not None))
+    return spark.createDataFrame(rows, "batch string, records bigint, exported boolean")
+
+
 @query
 def l2_catalogue_records(spark, sf_dir):
     r = L.catalogue_records(fx.catalogue(spark, sf_dir), table(spark, sf_dir, "pages"), 100)

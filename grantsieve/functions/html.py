@@ -20,7 +20,8 @@ from .text import clean_text, let, or_null, sql_text, strip_space
 
 # Possessive groups run as loops in the regex engine: no recursion on long inputs, and
 # jumping from "<" to "<" beats testing for the end at every character.
-_ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+# A quote opens a value behind "=" only.
+_ATTRIBUTES = r"""(?:[^>=]++|=(?:\s*+(?:"[^"]*+"|'[^']*+'))?+)*+"""
 _MARKUP = rf"<[A-Za-z/!?](?:{_ATTRIBUTES}>|[^>]*+>)"
 
 
@@ -37,10 +38,13 @@ _USUAL_NAMES = ("amp", "nbsp", "lt", "gt", "quot", "apos", "rsquo", "lsquo", "rd
 
 
 def visible_markup(html: Column, hidden_elements: Iterable[str]) -> Column:
-    """Drop comments and elements whose content is never page text."""
+    """Drop comments and elements whose content is never page text.
+
+    Such an element ends at its closing tag, whatever that holds, or with the page.
+    """
     names = "|".join(hidden_elements)
     comment = r"!--(?:[^-]++|-(?!->))*+(?:-->|\z)"
-    element = rf"({names})(?=[\s/>]){_ATTRIBUTES}(?<!/)>{_up_to(r'\1')}</\1\s*>"
+    element = rf"({names})(?=[\s/>]){_ATTRIBUTES}(?<!/)>(?:[^<]++|<(?!/\1(?=[\s/>])))*+(?:</\1[^>]*+>|\z)"
     return F.regexp_replace(html, f"(?i)<(?:{comment}|{element})", " ")
 
 
@@ -103,6 +107,33 @@ def decode_entities(c: Column) -> Column:
     return F.get(F.call_function("transform", F.array(c), F.expr(_DECODE)), F.lit(0))
 
 
+def _legacy_names() -> str:
+    """Map of the names that the standard also lists without a semicolon."""
+    pairs = "\x1e".join(f"{n}\x1f{v}" for n, v in html5.items() if not n.endswith(";"))
+    return f"str_to_map({sql_text(pairs)}, '\x1e', '\x1f')"
+
+
+# In attributes a name needs its semicolon, or is an old one that neither = nor a letter or
+# digit follows; any other "&" stays as it is, as query strings have many.
+_ATTRIBUTE_PIECE = f"""
+transform(
+  array(regexp_extract(p, '^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*)', 1)),
+  n -> coalesce(CASE
+    WHEN n = '' THEN NULL
+    WHEN startswith(n, '#')
+      THEN concat({_NUMERIC}, substr(p, length(n) + if(substr(p, length(n) + 1, 1) = ';', 2, 1)))
+    WHEN substr(p, length(n) + 1, 1) = ';'
+      THEN concat(element_at({_entity_names()}, n), substr(p, length(n) + 2))
+    WHEN substr(p, length(n) + 1, 1) = '=' THEN NULL
+    ELSE concat(element_at({_legacy_names()}, n), substr(p, length(n) + 1)) END,
+    concat('&', p)))[0]"""
+
+
+def decode_attribute(c: Column) -> Column:
+    """Replace character references of an attribute's value."""
+    return F.get(F.call_function("transform", F.array(c), F.expr(_DECODE.replace(_PIECE, _ATTRIBUTE_PIECE))), F.lit(0))
+
+
 def markup_text(markup: Column) -> Column:
     """Text of an HTML fragment: tags become spaces, references characters, space is collapsed."""
     bare = clean_text(F.regexp_replace(markup, _MARKUP, " "))
@@ -148,7 +179,7 @@ def canonical_url(visible: Column) -> Column:
         F.when(visible.contains("og:url"), _attribute(meta, "content")),
         F.lit(""),
     )
-    return strip_space(decode_entities(raw))
+    return strip_space(decode_attribute(raw))
 
 
 def classed_heading(visible: Column, class_part: str) -> Column:

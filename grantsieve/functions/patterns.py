@@ -32,22 +32,43 @@ def _quoted(replacement: str) -> str:
 
 
 def portable(pattern: str) -> str:
-    """Expand ``\\b``, ``\\s`` and ``\\d`` of a marker or rule into explicit classes.
+    """Expand ``\\b``, ``\\B``, ``\\w``, ``\\s``, ``\\d`` and their negations into explicit classes.
 
-    A ``\\b`` before a letter, a digit or a group is a word start; any other one is a
-    word end. Patterns therefore put ``\\b`` only at the outer edge of a word. The result
-    is meant for flags under which the dot matches every character (``ANY_CASE``).
+    A ``\\b`` before a letter or digit that must be there is a word start, one behind such a
+    sign a word end; any other one is tested on both sides. The result is meant for flags
+    under which the dot matches every character (``ANY_CASE``).
     """
 
     # At most positions the letter differs, so it is compared before looking back.
     expanded = re.sub(r"\\b([A-Za-z0-9])(?![?*+{])", rf"\1(?<!{_quoted(WORD)}.)", pattern)
 
-    def boundary(m: re.Match) -> str:
-        following = expanded[m.end() : m.end() + 1]
-        return WORD_START if following.isalnum() or following == "(" else WORD_END
+    def piece(m: re.Match) -> str:
+        if m[0] == r"\b":
+            return _boundary(expanded, m.start(), m.end())
+        if m[0].startswith("["):
+            return "[" + re.sub(r"\\.", lambda c: _INSIDE.get(c[0], c[0]), m[0][1:])
+        return _OUTSIDE.get(m[0], m[0])
 
-    expanded = re.sub(r"\\b", boundary, expanded)
-    return expanded.replace(r"\s", SPACE).replace(r"\d", "[0-9]")
+    return re.sub(r"\\.|\[\^?\]?(?:\\.|[^\]\\])*\]", piece, expanded)
+
+
+def _boundary(pattern: str, start: int, end: int) -> str:
+    """Word start, word end, or either, for a ``\\b`` at this place of a pattern."""
+    before = re.search(r"(?<!\\)(?:\\\\)*([A-Za-z0-9])$|\\[wd]$", pattern[:start])
+    after = re.match(r"(?:[A-Za-z0-9]|\\[wd])(?![?*{])", pattern[end:])
+    if before and not after:
+        return WORD_END
+    if after and not before:
+        return WORD_START
+    return f"(?:{WORD_START}(?={WORD})|(?<={WORD}){WORD_END})"
+
+
+# as they stand outside and inside of a class
+_OUTSIDE = {
+    r"\s": SPACE, r"\S": f"[^{SPACE_CHARS}]", r"\d": "[0-9]", r"\D": "[^0-9]", r"\w": f"[_{WORD[1:]}",
+    r"\W": f"[^_{WORD[1:]}", r"\B": f"(?:{WORD_START}{WORD_END}|(?<={WORD})(?={WORD}))",
+}
+_INSIDE = {r"\s": SPACE_CHARS, r"\d": "0-9", r"\w": WORD[1:-1]}
 
 
 def any_of(patterns: Iterable[str]) -> str:
@@ -64,7 +85,11 @@ def required_literal(pattern: str) -> str:
     if "|" in pattern:
         return ""
     gap = "\x00"
-    p = re.sub(r"\\.|\[[^\]]*\]|\{[^}]*\}", gap, pattern.replace("(?:", "("))
+    # a repeated sign may be missing; lookarounds and flags promise nothing
+    if re.search(r"\(\?(?!:)", pattern):
+        return ""
+    escapes = r"\\x[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\[pP]\{[^}]*\}|\\."
+    p = re.sub(rf"(?:{escapes}|\[\^?\]?(?:\\.|[^\]\\])*\]|.)\{{[^}}]*\}}|{escapes}|\[\^?\]?(?:\\.|[^\]\\])*\]", gap, pattern.replace("(?:", "("))
     while (inner := re.sub(r"\([^()]*\)", gap, p)) != p:
         p = inner
     p = re.sub(r"[^\x00][?*]", gap, p)

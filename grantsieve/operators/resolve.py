@@ -70,16 +70,23 @@ def resolve_pages(
     order: Sequence[str] = ("page_id",),
     all_readable: bool = False,
 ) -> DataFrame:
-    """The page of every resolved job as ``file_stem, url, html``.
+    """The page of every resolved job as ``file_stem, url, html``: one row per job.
+
+    Only pages with a wanted URL enter the index. A page without an order value counts as the
+    last one; of readable pages of one URL that tie, the least source is taken.
 
     Jobs meet the narrow page index first; the page source takes part only in the last
     join, as the filtered side. With few jobs Spark broadcasts them and no page is
     moved; with many, each wanted page crosses the network once.
     """
-    wanted = with_page_key(jobs).join(page_index(pages, order, all_readable), "url").select(
-        "file_stem", "url", *order
+    readable = pages if all_readable else pages.filter(F.col("html").isNotNull())
+    asked = pages.join(jobs.select("url").distinct(), "url", "left_semi")
+    wanted = with_page_key(jobs).join(page_index(asked, order, all_readable), "url").select(
+        "file_stem", "url", *[F.col(c).alias(f"_{c}") for c in order]
     )
-    return pages.join(wanted, ["url", *order]).select("file_stem", "url", "html")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order]
+    found = readable.join(wanted.withColumnRenamed("url", "_url"), [F.col("url") == F.col("_url"), *same])
+    return found.groupBy("file_stem", "url").agg(F.min("html").alias("html"))
 
 
 def resolve_attempts(attempts: DataFrame, retries: int = fv.DEFAULT_RETRIES) -> DataFrame:

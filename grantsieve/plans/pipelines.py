@@ -79,11 +79,16 @@ def catalogue_records(
     n: int,
     profile: Profile | None = None,
     order: Sequence[str] = ("page_id",),
+    all_readable: bool = False,
 ) -> DataFrame:
-    """Records of the first ``n`` distinct jobs of a catalogue that have a page."""
+    """Records of the first ``n`` distinct jobs of a catalogue that have a page.
+
+    ``all_readable=True``, for tables as written by ``land_pages``, keeps page source out of
+    the scan that looks for the pages.
+    """
     jobs = jobs_of(catalogue)
     by = [c for c in ("source_file", "ord") if c in jobs.columns]
-    return parse_pages(resolve_pages(first_n(jobs, n, by), pages, order), profile)
+    return parse_pages(resolve_pages(first_n(jobs, n, by), pages, order, all_readable), profile)
 
 
 def catalogue_batch(
@@ -94,12 +99,13 @@ def catalogue_batch(
     out_dir: str,
     profile: Profile | None = None,
     order: Sequence[str] = ("page_id",),
+    all_readable: bool = False,
 ) -> Written:
     """Newest landed catalogue snapshot to written records."""
     newest = newest_snapshot(spark, snapshots)
     if newest is None:
         raise FileNotFoundError(f"no catalogue snapshot matches {snapshots}")
-    records = catalogue_records(read_catalogue(spark, newest), pages, n, profile, order)
+    records = catalogue_records(read_catalogue(spark, newest), pages, n, profile, order, all_readable)
     return write_records(records, out_dir, profile)
 
 
@@ -116,6 +122,13 @@ def url_records(
     return parse_pages(keyed, profile)
 
 
+def url_batch(
+    pages: DataFrame, url: str, out_dir: str, profile: Profile | None = None, order: Sequence[str] = ("page_id",)
+) -> Written:
+    """Record of one URL, with every export."""
+    return write_records(url_records(pages, url, profile, order), out_dir, profile)
+
+
 @dataclass(frozen=True)
 class Fetched:
     """Outcome of ``fetch_batch``: the log table and two small reports over it."""
@@ -131,13 +144,16 @@ def fetch_batch(
     log_path: str,
     out_dir: str = "",
     order: Sequence[str] = ("page_id",),
+    all_readable: bool = False,
 ) -> Fetched:
     """Resolve jobs, append the outcome log, and report on the rows just written.
 
     Every batch is a folder ``batch=<id>`` of the log table at ``log_path``. The reports
     read that folder, so jobs are resolved once.
     """
-    outcome = fetch_log(jobs, page_index(pages, order), out_dir)
+    outcome = fetch_log(
+        jobs, page_index(pages.join(jobs.select("url").distinct(), "url", "left_semi"), order, all_readable), out_dir
+    )
     batch = f"{log_path.rstrip('/')}/batch={uuid4().hex}"
     append_fetch_log(outcome, batch)
     written = jobs.sparkSession.read.schema(outcome.schema).json(batch)

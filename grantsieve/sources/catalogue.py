@@ -17,13 +17,16 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     """Catalogue CSV with all-string columns, ``source_file`` and row order ``ord``.
 
     Quoted fields may span lines, so each file is one split and ``ord`` follows the row
-    order inside a file. Order a catalogue of several files by ``source_file, ord``.
+    order inside a file. Order a catalogue of several files by ``source_file, ord``. Reading
+    files with different headers at once fails.
     """
     df = (
         spark.read.option("header", True)
         .option("multiLine", True)
         .option("escape", '"')
         .option("encoding", "UTF-8")
+        # columns go by place: a file whose header differs from the first one's is refused
+        .option("enforceSchema", False)
         .csv(path)
     )
     if not df.columns:

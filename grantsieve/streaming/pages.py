@@ -8,7 +8,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.fixed_values import Profile
 from ..operators.records import parse_pages
-from ..session import shared_folder
 
 PAGE_SCHEMA = StructType(
     [
@@ -41,13 +40,14 @@ def parse_stream(
 ) -> StreamingQuery:
     """Append records of newly landed pages to a parquet table, exactly once per page.
 
-    Pass the same ``checkpoint`` to every run that should continue where one stopped.
+    The checkpoint belongs to the table: without another place for it, it stands beside
+    ``out_path``, so every run continues where the last one stopped.
     """
     writer = (
         parse_pages(pages, profile)
         .writeStream.format("parquet")
         .outputMode("append")
-        .option("checkpointLocation", checkpoint or shared_folder(pages.sparkSession, "parse-stream"))
+        .option("checkpointLocation", checkpoint or f"{out_path.rstrip('/')}_checkpoint")
     )
     if available_now:
         writer = writer.trigger(availableNow=True)

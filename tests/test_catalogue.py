@@ -106,7 +106,7 @@ def test_first_n(spark):
 
 def test_first_n_of_many(spark):
     df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("ord"), F.lit("x").alias("t"))
-    got = first_n(df, 1234, whole_rows_up_to=100)
+    got = first_n(df, 1234)
     assert got.columns == df.columns
     assert sorted(r.ord for r in got.collect()) == list(range(1234))
 
@@ -122,3 +122,28 @@ def test_catalogue_of_several_part_files(spark, tmp_path):
 def test_drop_blank_urls(spark):
     df = spark.createDataFrame([(None,), ("x",)], "url string")
     assert [r.url for r in drop_blank_urls(df).collect()] == ["x"]
+
+
+def test_first_n_is_exact_with_null_and_tied_orders(spark):
+    rows = [(None, "a"), (1, "c"), (1, "b"), (2, "d"), (3, "e")]
+    df = spark.createDataFrame(rows, "ord int, t string")
+    for n in range(1, 6):
+        assert [r.t for r in first_n(df, n).collect()] == ["a", "b", "c", "d", "e"][:n]
+
+
+def test_files_with_different_headers_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Title,Solicitation URL\nT1,a.org/1\n")
+    (tmp_path / "b.csv").write_text("Solicitation URL,Title\nb.org/2,T2\n")
+    with pytest.raises(Exception):
+        catalogue_jobs(spark, str(tmp_path)).collect()
+
+
+def test_snapshot_keeps_the_order_of_several_files(spark, tmp_path):
+    from grantsieve.sinks.writers import write_catalogue_snapshot
+    from grantsieve.sources.catalogue import read_catalogue
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/1.csv").write_text("Solicitation URL,Title\nx.org,first\n")
+    (tmp_path / "a/2.csv").write_text("Solicitation URL,Title\n" + "x.org,second\n" * 300)
+    path = write_catalogue_snapshot(read_catalogue(spark, str(tmp_path / "a")), str(tmp_path / "nsf"))
+    assert [j.title for j in catalogue_jobs(spark, path).collect()] == ["first"]

@@ -181,3 +181,22 @@ def test_boilerplate(spark):
     ]
     assert [r.folded for r in got.collect()] == [r.text.lower() for r in got.collect()]
     assert got.filter(F.col("text").isNull()).count() == 0
+
+
+def test_attribute_references(apply):
+    values = ["?x=1&lang=en", "?x=1&order=2&top=5", "&foo;b", "a&amp;b", "?a=1&copy=2", "&copy 2", "&copyx", "&#65;&#x42", "&notit;"]
+    want = ["?x=1&lang=en", "?x=1&order=2&top=5", "&foo;b", "a&b", "?a=1&copy=2", "\xa9 2", "&copyx", "AB", "&notit;"]
+    assert apply(values, H.decode_attribute) == want
+
+
+def test_quotes_and_unclosed_scripts(apply):
+    hidden = ("script", "style")
+
+    def text(c):
+        return H.markup_text(H.visible_markup(c, hidden))
+
+    values = [
+        "<p title=it's>Hello <b>it's</b> lost? <i>it's</i></p> tail", '<a href="x"" title="a > b">in</a> out',
+        'a<script>var x="National";</body>', "a<script>x</script foo>b", "a<scripty>b</scripty>c",
+    ]
+    assert apply(values, text) == ["Hello it's lost? it's tail", "in out", "a", "a b", "a b c"]

@@ -85,3 +85,13 @@ def test_page_index_never_carries_the_source(spark, small):
     assert "html" not in narrow._jdf.queryExecution().executedPlan().toString()
     assert narrow.columns == ["url", "page_id"]
     assert narrow.select(F.count_distinct("url")).first()[0] == narrow.count()
+
+
+def test_one_page_per_job_whatever_the_page_ids(spark):
+    jobs, _ = jobs_and_pages(spark)
+    pages = spark.createDataFrame(
+        [(None, "u1", "x"), (5, "u2", "b"), (5, "u2", "a"), (None, "u2", "c")], "page_id int, url string, html string"
+    )
+    got = sorted((r.url, r.html) for r in resolve_pages(jobs, pages).collect())
+    assert got == [("u1", "x"), ("u2", "a")]
+    assert outcome_summary(fetch_log(jobs, page_index(pages))).first()["ok"] == 2

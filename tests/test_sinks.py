@@ -76,3 +76,15 @@ def test_stream_equals_batch_and_resumes(spark, small, tmp_path):
     got = spark.read.parquet(out)
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_stream_runs_continue_without_a_named_checkpoint(spark, tmp_path):
+    landed, out = str(tmp_path / "landed"), str(tmp_path / "records")
+    for i in range(3):
+        page = spark.createDataFrame([(f"p{i}", "u", "<p>x</p>")], "file_stem string, url string, html string")
+        land_pages(page, landed, batch=str(i))
+        stream = spark.readStream.schema("file_stem string, url string, html string").parquet(f"{landed}/batch=*")
+        parse_stream(stream, out).awaitTermination()
+    assert sorted(r.file_stem for r in spark.read.parquet(out).collect()) == ["p0", "p1", "p2"]
+    land_pages(page, landed, batch="2")
+    assert spark.read.parquet(landed).count() == 3

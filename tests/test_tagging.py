@@ -61,3 +61,22 @@ def test_joined_tags(spark):
     df = spark.createDataFrame([("ai quantum",)], "t string")
     row = with_topic_tags(df, "t", TOPIC_RULES).select(*joined_tags(F.col("tags"), TOPIC_RULES)).first()
     assert row.tags_research_domains == "Quantum; AI" and row.tags_populations == ""
+
+
+def test_patterns_keep_their_meaning(spark):
+    import re
+
+    from pyspark.sql import functions as F
+
+    from grantsieve.functions.patterns import ANY_CASE, portable, required_literal
+
+    text = "big biology takes 20 years; color of cafes, foo large na\xefve bar_x a-b"
+    patterns = [
+        r"\b\d+ years\b", r"\b[a-z]+ology\b", r"\bfoo\b(?!bar)", r"\bcolou{0,1}r\b", r"\bna\wve\b", r"\x62ig", r"\Bology\b",
+        r"\w\W\w", r"[\w-]+\b", r"\bx?big\b", r"o\b", r"\S\s\S", r"\Big\b", r"\b(?:foo|baz)\b", r"\bye\b", r"\bo\w*x\b",
+    ]
+    for p in patterns:
+        got = spark.createDataFrame([(text,)], "t string").select(F.col("t").rlike(ANY_CASE + portable(p))).first()[0]
+        assert got == bool(re.search(p, text, re.I)), p
+        if re.search(p, text, re.I):
+            assert required_literal(p) in text, p
