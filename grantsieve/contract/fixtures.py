@@ -76,7 +76,7 @@ SOLICITATION_LAYERS: list[Layer] = [
                 "CASE WHEN k % 2 = 0 THEN '<link rel=\"canonical\" href=\"https://example.org/p/' || cast(k as string) || '?a=1&amp;b=2\">' "
                 "ELSE '<link href=\" https://example.org/q/' || cast(k as string) || ' \" rel=\"shortlink canonical\">' END",
                 "'<link rel=\"canonical\" href=\"\"><meta property=\"og:url\" content=\"https://example.org/og/' || cast(k as string) || '\">'",
-                "'<meta content=\"https://example.org/m/' || cast(k as string) || '\" property=\"og:url\"/>'",
+                "'<meta content=\"https://example.org/m/' || cast(k as string) || '?x=1&lang=en&order=2&copy=2&foo;b&amp;c=3\" property=\"og:url\"/>'",
                 "'<link rel=\"alternate\" href=\"https://example.org/none\">'",
             ),
         ),
@@ -91,7 +91,7 @@ SOLICITATION_LAYERS: list[Layer] = [
                 "(k div 9) % 3",
                 "'<p>U.S. National Science Foundation</p>'",
                 "'<a href=\"#\">National Science Foundation</a> <b>Search</b>'",
-                "'<p>Another national science foundation</p>'",
+                "'<p title=it' || chr(39) || 's>Another <b>it' || chr(39) || 's</b> national science foundation <i>it' || chr(39) || 's</i></p>'",
             ),
         ),
         (
@@ -132,7 +132,7 @@ SOLICITATION_LAYERS: list[Layer] = [
             "CASE WHEN k % 7 = 5 THEN '' ELSE '<h2>III. Award Information</h2>' END || '<p>' || "
             + _case(
                 "(k div 16) % 8",
-                "'Awards vary by year.'",
+                "'Awards vary by year<![CDATA[ > see site]]>.'",
                 "'Anticipated funding is ' || a || '.'",
                 "'Between ' || b || ' and ' || a || ' per award'",
                 "'Total ' || b || ', with awards from ' || a || ', to $90,000'",
@@ -162,7 +162,7 @@ SOLICITATION_LAYERS: list[Layer] = [
         ("url", "'https://example.org/opportunity/' || cast(k as string)"),
         (
             "body",
-            "'<!-- II. Program Description: hidden comment --><script>var a=\"<main>\";</script>' || top || "
+            "'<!-- II. Program Description: hidden comment --><script>var a=\"<main>\";</script x>' || top || "
             "'<p><a href=\"#c\" title=\"a>b\">Skip to main content</a></p>' || agency || posted || chr(10) || deadline || "
             "'<div>' || description || '</div>' || award || chr(10) || chr(9) || eligibility || '<p>&copy; site</p>'",
         ),
@@ -179,7 +179,7 @@ SOLICITATION_LAYERS: list[Layer] = [
             + _case(
                 "root",
                 "'<body><nav>Menu National Science Foundation</nav><main id=\"m\">' || body || '</main><footer>Foot $9</footer></body>'",
-                "'<body class=\"b\">' || body || '</body>'",
+                "'<body class=\"b\">' || body || '<script>var x=\"II. Program Description\";</body>'",
                 "body",
             )
             + " || '</html>'",
@@ -220,6 +220,20 @@ ATTEMPT_LAYER: Layer = [
 ]
 
 
+# orders as jobs of these attempts; some were never tried
+ORDER_JOB_LAYER: Layer = [
+    ("ord", "o_orderkey"),
+    (
+        "url",
+        "CASE WHEN o_orderkey % 50 = 0 THEN 'https://example.org/never/' ELSE 'https://example.org/o/' END "
+        "|| cast(o_orderkey as string)",
+    ),
+    ("title", "CASE WHEN o_orderkey % 3 = 0 THEN 'Order ' || cast(o_orderkey as string) END"),
+    ("program_id", "CASE WHEN o_orderkey % 5 = 0 THEN 'P-' || cast(o_orderkey % 13 as string) END"),
+    ("nsf_pd_num", "CASE WHEN o_orderkey % 7 = 0 THEN cast(o_orderkey % 97 as string) || '/1' END"),
+]
+
+
 def _spark(expression: str) -> str:
     return re.sub(r"DATE_TEXT\((\w+)\)", r"date_format(\1, 'MMMM d, yyyy')", expression).replace(
         "{{", "{"
@@ -284,6 +298,15 @@ def attempts_sql() -> str:
     return _sql("lineitem", ATTEMPT_LAYER)
 
 
+def order_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One job per order, most of them with attempts."""
+    return _select(table(spark, sf_dir, "orders"), ORDER_JOB_LAYER)
+
+
+def order_jobs_sql() -> str:
+    return _sql("orders", ORDER_JOB_LAYER)
+
+
 def keyed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The given pages with a file stem."""
     pages = table(spark, sf_dir, "pages")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import sqltext as q
-from .fixtures import attempts_sql, catalogue_sql, solicitations_sql
+from .fixtures import attempts_sql, catalogue_sql, order_jobs_sql, solicitations_sql
 from .rules import WORD_RULES
 
 JOB_TEXTS = {"title": "Title", "program_id": "Program ID", "nsf_pd_num": "NSF/PD Num"}
@@ -95,6 +95,13 @@ def oracles() -> dict[str, str]:
             f"f.b AS body FROM (SELECT url, {first} AS f, {last} AS l FROM ({att}) WHERE attempt <= {retries} GROUP BY url)"
         )
 
+    tried = (
+        "SELECT ord, url, coalesce(o.ok, false) AS ok, o.http_status AS http_status, "
+        "CASE WHEN NOT coalesce(o.ok, false) THEN coalesce(o.error, 'Unknown error') END AS error, "
+        f"CASE WHEN o.ok THEN 'landed/' || {key} || '.html' END AS saved_path "
+        f"FROM ({order_jobs_sql()}) LEFT JOIN ({attempts(2)}) o USING (url)"
+    )
+
     def tags_of(source: str, key: str, rules=None) -> str:
         tagged = (q.tags("text") if rules is None else q.tags("text", rules)).items()
         return f"SELECT {key}, {', '.join(f'{e} AS {n}' for n, e in tagged)} FROM ({source})"
@@ -216,6 +223,9 @@ def oracles() -> dict[str, str]:
             "file_stem",
             FLAT,
         ),
+        "l4_fetch_batch_from_attempts": tried,
+        "l4_attempts_summary": f"SELECT count(*) AS total, count(*) FILTER (ok) AS ok, count(*) FILTER (NOT ok) AS failed FROM ({tried})",
+        "l4_attempts_first_failures": f"SELECT ord, url, error FROM ({tried}) WHERE NOT ok ORDER BY ord LIMIT 10",
         "l4_fetch_batch_summary": f"SELECT count(*) AS total, count(*) FILTER (ok) AS ok, count(*) FILTER (NOT ok) AS failed FROM ({log})",
     }
     return out

@@ -535,6 +535,26 @@ def l3_url_record(spark, sf_dir):
     return flatten_records(L.url_records(pages, " example.org/opportunity/7 ", P, ("k",)))
 
 
+def attempted(spark, sf_dir) -> L.Fetched:
+    path = shared_folder(spark, "log")
+    return L.fetch_batch_from_attempts(fx.order_jobs(spark, sf_dir), fx.attempts(spark, sf_dir), path, "landed")
+
+
+@query
+def l4_fetch_batch_from_attempts(spark, sf_dir):
+    return attempted(spark, sf_dir).log
+
+
+@query
+def l4_attempts_summary(spark, sf_dir):
+    return attempted(spark, sf_dir).summary
+
+
+@query
+def l4_attempts_first_failures(spark, sf_dir):
+    return attempted(spark, sf_dir).failures
+
+
 @query
 def l4_fetch_batch_summary(spark, sf_dir):
     path = shared_folder(spark, "log")

@@ -37,13 +37,14 @@ def decode(x: str) -> str:
 
 
 def markup_text(x: str) -> str:
-    bare = rf"""regexp_replace({x}, '<(?:"[^"]*"|''[^'']*''|[^>"''])*>', ' ', 'g')"""
+    kept = rf"""regexp_replace({x}, '(?s)<!\[CDATA\[(.*?)\]\]>', ' \1 ', 'g')"""
+    bare = rf"""regexp_replace({kept}, '<[A-Za-z/!?](?:=\s*"[^"]*"|=\s*''[^'']*''|[^>])*>', ' ', 'g')"""
     return clean(decode(bare))
 
 
 def visible(html: str) -> str:
     return (
-        f"regexp_replace({html}, '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>', ' ', 'g')"
+        f"regexp_replace({html}, '(?is)<!--.*?-->|<script.*?(?:</script[^>]*>|$)|<style.*?</style>', ' ', 'g')"
     )
 
 

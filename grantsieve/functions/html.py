@@ -22,7 +22,8 @@ from .text import clean_text, let, or_null, sql_text, strip_space
 # jumping from "<" to "<" beats testing for the end at every character.
 # A quote opens a value behind "=" only.
 _ATTRIBUTES = r"""(?:[^>=]++|=(?:\s*+(?:"[^"]*+"|'[^']*+'))?+)*+"""
-_MARKUP = rf"<[A-Za-z/!?](?:{_ATTRIBUTES}>|[^>]*+>)"
+_CDATA = r"<!\[CDATA\[((?:[^\]]++|\](?!\]>))*+)\]\]>"
+_MARKUP = rf"{_CDATA}|<[A-Za-z/!?](?:{_ATTRIBUTES}>|[^>]*+>)"
 
 
 def _up_to(closing: str) -> str:
@@ -135,8 +136,11 @@ def decode_attribute(c: Column) -> Column:
 
 
 def markup_text(markup: Column) -> Column:
-    """Text of an HTML fragment: tags become spaces, references characters, space is collapsed."""
-    bare = clean_text(F.regexp_replace(markup, _MARKUP, " "))
+    """Text of an HTML fragment: tags become spaces, references characters, space is collapsed.
+
+    Of a CDATA section its content stays.
+    """
+    bare = clean_text(F.regexp_replace(markup, _MARKUP, " $1 "))
     return let(
         bare,
         lambda t: F.when(t.contains("&"), clean_text(decode_entities(t))).otherwise(t),

@@ -89,33 +89,81 @@ def resolve_pages(
     return found.groupBy("file_stem", "url").agg(F.min("html").alias("html"))
 
 
-def resolve_attempts(attempts: DataFrame, retries: int = fv.DEFAULT_RETRIES) -> DataFrame:
-    """Outcome per URL of logged attempts (``url, attempt, status, error, body``).
+def attempt_outcomes(attempts: DataFrame, retries: int = fv.DEFAULT_RETRIES) -> DataFrame:
+    """Outcome per URL of logged attempts: ``url, ok, attempt, http_status, error``.
 
-    The first success among the first ``retries + 1`` attempts gives its status and
-    body. Otherwise the last error is reported, ``HTTP <status>`` for a plain response.
-    Minimum and maximum combine before the shuffle: a URL sends one row per partition.
+    The first success among the first ``retries + 1`` attempts gives its number and status.
+    Otherwise the last error is reported, ``HTTP <status>`` for a plain response. Minimum
+    and maximum combine before the shuffle: a URL sends one row per partition. Bodies are
+    not read. Attempts without a URL belong to no job and are left out.
     """
     ok = F.coalesce(is_success(F.col("status")), F.lit(False))
     error = F.when(
         ~ok, F.coalesce(F.col("error"), F.concat(F.lit("HTTP "), F.col("status").cast("string")))
     )
     outcome = (
-        attempts.filter(F.col("attempt") <= retries)
+        attempts.filter(F.col("url").isNotNull() & (F.col("attempt") <= retries))
         .groupBy("url")
         .agg(
-            F.min(F.when(ok, F.struct("attempt", "status", "body"))).alias("_first"),
+            F.min(F.when(ok, F.struct("attempt", "status"))).alias("_first"),
             F.max(F.when(error.isNotNull(), F.struct("attempt", error.alias("text")))).alias("_error"),
         )
     )
     return outcome.select(
         "url",
         F.col("_first").isNotNull().alias("ok"),
+        F.col("_first.attempt").alias("attempt"),
         F.col("_first.status").alias("http_status"),
         F.when(
             F.col("_first").isNull(), F.coalesce(F.col("_error.text"), F.lit("Unknown error"))
         ).alias("error"),
-        F.col("_first.body").alias("body"),
+    )
+
+
+def resolve_attempts(attempts: DataFrame, retries: int = fv.DEFAULT_RETRIES) -> DataFrame:
+    """Outcome per URL with the body of its first success: ``url, ok, http_status, error, body``.
+
+    Outcomes are settled on narrow rows (see ``attempt_outcomes``); only bodies of successful
+    attempts meet them. Of several bodies logged for that attempt the least is taken.
+    """
+    fetched = attempts.filter(is_success(F.col("status"))).select(
+        F.col("url").alias("_url"), F.col("attempt").alias("_attempt"), F.col("status").alias("_status"), "body"
+    )
+    same = [
+        F.col("url") == F.col("_url"), F.col("attempt") == F.col("_attempt"), F.col("http_status") == F.col("_status")
+    ]
+    # grouped by the join's own keys among others, so the join's partitions are kept
+    return (
+        attempt_outcomes(attempts, retries)
+        .join(fetched, same, "left")
+        .groupBy("url", "attempt", "http_status", "ok", "error")
+        .agg(F.min("body").alias("body"))
+        .select("url", "ok", "http_status", "error", "body")
+    )
+
+
+def attempt_log(
+    jobs: DataFrame, attempts: DataFrame, out_dir: str = "", retries: int = fv.DEFAULT_RETRIES
+) -> DataFrame:
+    """One outcome row per job as ``fetch_log`` gives it, from logged attempts.
+
+    A success has its own status, a failure its last error; a job that was never tried has
+    failed with an unknown error. Attempts of other URLs are dropped before they are resolved.
+    """
+    asked = attempts.join(jobs.select("url").distinct(), "url", "left_semi")
+    outcome = attempt_outcomes(asked, retries).select(
+        "url", *[F.col(c).alias(f"_{c}") for c in ("ok", "http_status", "error")]
+    )
+    ok = F.coalesce(F.col("_ok"), F.lit(False))
+    prefix = out_dir.rstrip("/") + "/" if out_dir else ""
+    extra = [c for c in jobs.columns if c == "ord"]
+    return with_page_key(jobs).join(outcome, "url", "left").select(
+        *extra,
+        "url",
+        ok.alias("ok"),
+        F.col("_http_status").cast("int").alias("http_status"),
+        F.when(~ok, F.coalesce(F.col("_error"), F.lit("Unknown error"))).alias("error"),
+        F.when(ok, F.concat(F.lit(prefix), F.col("file_stem"), F.lit(".html"))).alias("saved_path"),
     )
 
 

@@ -9,13 +9,13 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.fixed_values import Profile
+from ..functions.fixed_values import DEFAULT_RETRIES, Profile
 from ..functions.scalars import normalize_url
 from ..operators.dedup import first_n, keep_first
 from ..operators.filters import drop_blank_urls
 from ..operators.records import parse_pages
 from ..operators.resolve import (
-    fetch_log, first_failures, outcome_summary, page_index, resolve_pages, with_page_key,
+    attempt_log, fetch_log, first_failures, outcome_summary, page_index, resolve_pages, with_page_key,
 )
 from ..sinks.writers import append_fetch_log, write_flat_csv, write_json, write_json_per_record
 from ..sources.catalogue import job_rows, newest_snapshot, read_catalogue
@@ -154,7 +154,18 @@ def fetch_batch(
     outcome = fetch_log(
         jobs, page_index(pages.join(jobs.select("url").distinct(), "url", "left_semi"), order, all_readable), out_dir
     )
+    return _logged(outcome, log_path)
+
+
+def fetch_batch_from_attempts(
+    jobs: DataFrame, attempts: DataFrame, log_path: str, out_dir: str = "", retries: int = DEFAULT_RETRIES
+) -> Fetched:
+    """As ``fetch_batch``, with the status and last error that each job's attempts were logged with."""
+    return _logged(attempt_log(jobs, attempts, out_dir, retries), log_path)
+
+
+def _logged(outcome: DataFrame, log_path: str) -> Fetched:
     batch = f"{log_path.rstrip('/')}/batch={uuid4().hex}"
     append_fetch_log(outcome, batch)
-    written = jobs.sparkSession.read.schema(outcome.schema).json(batch)
+    written = outcome.sparkSession.read.schema(outcome.schema).json(batch)
     return Fetched(written, outcome_summary(written), first_failures(written))

@@ -44,6 +44,9 @@ def test_markup_text(apply):
         "<?xml version='1'?><!DOCTYPE html>t": "t",
         "": "",
         "<a title=\"broken>x</a>": "x",
+        "a<![CDATA[in > cd]]>b": "a in > cd b",
+        "a<![CDATA[x ]] y]]]]>b<!DOCTYPE c>": "a x ]] y]] b",
+        "a$1<b>$2</b>": "a$1 $2",
     }
     assert apply(list(cases), H.markup_text) == list(cases.values())
     assert apply([None], H.markup_text) == [""]

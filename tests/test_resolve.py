@@ -2,9 +2,9 @@ from pyspark.sql import functions as F
 
 from grantsieve.contract import fixtures as fx
 from grantsieve.operators.resolve import (
-    fetch_log, first_failures, outcome_summary, page_index, resolve_attempts, resolve_pages,
+    attempt_outcomes, fetch_log, first_failures, outcome_summary, page_index, resolve_attempts, resolve_pages,
 )
-from grantsieve.plans.pipelines import fetch_batch, jobs_of
+from grantsieve.plans.pipelines import fetch_batch, fetch_batch_from_attempts, jobs_of
 
 JOB = "ord int, url string, title string, program_id string, nsf_pd_num string"
 
@@ -79,6 +79,28 @@ def test_attempts(spark):
     assert more["d"] is True
 
 
+def test_log_of_attempts(spark, tmp_path):
+    jobs, _ = jobs_and_pages(spark)
+    attempts = spark.createDataFrame(
+        [("u1", 0, 503, None, "no"), ("u1", 1, 204, None, "b"), ("u1", 1, 204, None, "a"), ("u1", 2, 200, None, "late"),
+         ("u2", 0, None, "Timeout: x", None), ("u2", 1, 404, None, None), ("other", 0, 200, None, "z"), (None, 0, 200, None, "n")],
+        "url string, attempt int, status int, error string, body string",
+    )
+    done = fetch_batch_from_attempts(jobs, attempts, str(tmp_path / "log"), "out")
+    assert [(r.url, r.ok, r.http_status, r.error) for r in done.log.orderBy("ord").collect()] == [
+        ("u1", True, 204, None), ("u2", False, None, "HTTP 404"), ("u3", False, None, "Unknown error"),
+    ]
+    assert tuple(done.summary.first()) == (3, 1, 2)
+    assert {r.url: r.body for r in resolve_attempts(attempts).collect()} == {"u1": "a", "u2": None, "other": "z"}
+
+
+def test_outcomes_are_settled_without_bodies(spark, small):
+    plan = attempt_outcomes(fx.table(spark, small, "pages").selectExpr(
+        "url", "1 AS attempt", "200 AS status", "cast(null as string) AS error", "html AS body"
+    ))._jdf.queryExecution().executedPlan().toString()
+    assert "html" not in plan
+
+
 def test_page_index_never_carries_the_source(spark, small):
     pages = fx.table(spark, small, "pages")
     narrow = page_index(pages, all_readable=True)
