@@ -12,17 +12,23 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .shingles import MinMax, jaccard_counts, lowered_words, sequence_hash, shingle_set
-from .tables import utf8, written
+from .tables import salted_join, utf8, written
 
 
 @dataclass(frozen=True)
 class Linking:
     """Link at 100 * intersection >= percent * union. 63 hash functions give 126 values, in 25
-    bands of 5: a pair at 0.85 shares no band with a probability of 4e-7."""
+    bands of 5: a pair at 0.85 shares no band with a probability of 4e-7. pairs_in_part: pairs
+    of one text that are confirmed together."""
 
     percent: int = 85
     functions: int = 63
     rows: int = 5
+    pairs_in_part: int = 256
+
+
+#: Tasks that a bucket of known size is spread over.
+_BUCKET_PARTS = "cast(size div 256 + 1 as int)"
 
 
 def sketches(text: Column, linking: Linking = Linking()) -> Column:
@@ -62,10 +68,27 @@ def confirmed_counts(text_a: Column, text_b: Column) -> Column:
     return counts(text_a, text_b)
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _text_pairs(pairs: DataFrame, texts: DataFrame, linking: Linking) -> DataFrame:
+    """pairs (a, b, ..) with text_a and text_b; texts is (id, text), ids unique.
+
+    The pairs of one a go to a task for each pairs_in_part of them, each with the text of a:
+    texts are repeated by the number of pairs, so a hub of a third of all rows is no hot key.
+    """
+    parts = pairs.groupBy("a").agg((F.count("*") / linking.pairs_in_part + 1).cast("int").alias("parts"))
+    parts = written(parts, "parts")
+    spread = salted_join(pairs, parts.filter("parts > 1"), ["a"], "b", how="left").withColumn(
+        "part", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int")
+    )
+    left = texts.join(parts, F.col("id") == F.col("a")).select(
+        "a", F.col("text").alias("text_a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+    )
+    right = spread.drop("parts").join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    return right.join(left, ["a", "part"]).drop("part")
+
+
+def _confirm(pairs: DataFrame, texts: DataFrame, linking: Linking) -> DataFrame:
     """Pairs (a, b) with the sizes of intersection and union; texts is (id, text), ids unique."""
-    right = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    full = right.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+    full = _text_pairs(pairs, texts, linking)
     return full.select("a", "b", confirmed_counts(F.col("text_a"), F.col("text_b")).alias("c")).select("a", "b", "c.*")
 
 
@@ -101,25 +124,24 @@ def _open_pairs(
     """
     p = linking.percent
     labelled = seated.join(labels.withColumnRenamed("v", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    mixed = labelled.filter("id <> hub").groupBy("key").agg(
+    mixed = labelled.filter("id <> hub").groupBy("key", "size").agg(
         F.min("label").alias("x"), F.max("label").alias("y")
-    ).filter("x <> y").select("key")
-    spokes = labelled.filter("id <> hub").join(mixed, "key", "left_semi").select(
+    ).filter("x <> y").select("key", "size")
+    spokes = salted_join(labelled.filter("id <> hub"), mixed, ["key", "size"], "id", _BUCKET_PARTS).select(
         "hub", "id", "label", F.col("n_shingles").alias("n")
     ).distinct()
     sizes = measured.select(F.col("a").alias("hub"), F.col("b").alias("id"), "both")
     spokes = written(spokes.join(sizes, ["hub", "id"]), "spokes")
     groups = spokes.groupBy("hub").agg(F.count("*").alias("members"))
 
-    full = spokes.join(texts.select("id", "text"), "id").join(
-        texts.select(F.col("id").alias("hub"), F.col("text").alias("text_hub")), "hub"
-    )
+    full = _text_pairs(spokes.select(F.col("hub").alias("a"), F.col("id").alias("b")), texts, linking)
+    extras = F.explode(foreign_shingles(F.col("text_a"), F.col("text_b")))
+    foreign = written(full.select(F.col("a").alias("hub"), F.col("b").alias("id"), extras.alias("s")), "foreign")
+    counts = foreign.groupBy("hub", "s").agg(F.count("*").alias("c"))
+    counts = salted_join(counts, groups, ["hub"], "s").withColumn("common", F.expr("4 * c > members"))
+    counts = written(counts.filter("common or c > 1"), "counts")  # others count for nothing below
     foreign = written(
-        full.select("hub", "id", F.explode(foreign_shingles(F.col("text_hub"), F.col("text"))).alias("s")), "foreign"
-    )
-    counts = foreign.groupBy("hub", "s").agg(F.count("*").alias("c")).join(groups, "hub")
-    foreign = written(
-        foreign.join(counts, ["hub", "s"]).select("hub", "id", "s", "c", F.expr("4 * c > members").alias("common")), "counted"
+        foreign.join(counts.drop("members"), ["hub", "s"]).select("hub", "id", "s", "c", "common"), "counted"
     )
     held = foreign.filter("common").groupBy("hub", "id").agg(F.count("*").alias("more"))
     need = f"ceil({p} * (n + ceil({p} * n / 100.0)) / {100 + p}.0) - k"
@@ -154,6 +176,9 @@ def near_duplicates(docs: DataFrame, linking: Linking = Linking()) -> DataFrame:
        is known of them and the hub leaves a link possible. No pair that could link is left out.
     4. Components of the links, carried back to documents.
 
+    Buckets and hubs of any size are spread: their rows are salted by id, what is known of the
+    bucket or hub is repeated for each salt.
+
     Empty texts and rows without a doc_id are linked with nothing; the latter are kept and
     have no component. Rows of one doc_id are one node whatever their texts. Other columns of
     docs, of whatever name, are ignored.
@@ -175,13 +200,14 @@ def near_duplicates(docs: DataFrame, linking: Linking = Linking()) -> DataFrame:
     # buckets with at least two members, their hubs
     places = own.select("id", "n_shingles", F.explode("bands").alias("key"))
     sizes = places.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    places = written(places.join(sizes, "key"), "places")
+    places = written(salted_join(places, sizes, ["key"], "id"), "places")
     degrees = places.groupBy("id").agg(F.sum("size").alias("degree"))
     ranked = written(places.join(degrees, "id"), "ranked")
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("degree", "id", "n_shingles")).alias("h")).select(
-        "key", F.col("h.id").alias("hub")
+    hubs = ranked.groupBy("key", "size").agg(F.max(F.struct("degree", "id", "n_shingles")).alias("h")).select(
+        "key", "size", F.col("h.id").alias("hub")
     )
-    seated = written(ranked.join(hubs, "key").select("key", "id", "n_shingles", "hub"), "seated")
+    seated = salted_join(ranked, hubs, ["key", "size"], "id", _BUCKET_PARTS)
+    seated = written(seated.select("key", "size", "id", "n_shingles", "hub"), "seated")
 
     # texts of the classes that are in any bucket
     wanted = own.join(seated.select("id").distinct(), "id", "left_semi").select("doc_id", "tag", "id")
@@ -189,12 +215,14 @@ def near_duplicates(docs: DataFrame, linking: Linking = Linking()) -> DataFrame:
     texts = written(texts.join(wanted, ["doc_id", "tag"]).select("id", "text"), "texts")
 
     spokes = seated.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    measured = written(_confirm(spokes, texts), "measured")
+    spokes = written(spokes, "pairs")
+    measured = written(_confirm(spokes, texts, linking), "measured")
     linked = F.expr(f"100 * both >= {linking.percent} * either")
     links = measured.filter(linked).select("a", "b")
     labels = connected_components(links)
 
-    more = _confirm(_open_pairs(seated, measured, labels, texts, linking), texts).filter(linked).select("a", "b")
+    still_open = written(_open_pairs(seated, measured, labels, texts, linking), "open")
+    more = _confirm(still_open, texts, linking).filter(linked).select("a", "b")
     links = written(links.union(more), "links")
 
     # from classes to documents

@@ -23,6 +23,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def salted_join(
+    rows: DataFrame, facts: DataFrame, keys: list[str], by: str, parts: str = "8", how: str = "inner"
+) -> DataFrame:
+    """rows joined with facts, which has one narrow row per key; the rows of a key go to `parts`
+    tasks by hash of the column `by`. parts: SQL, of the keys alone, as both sides compute it."""
+    spread = rows.withColumn("_salt", F.expr(f"cast(pmod(xxhash64({by}), {parts}) as int)"))
+    repeated = facts.withColumn("_salt", F.expr(f"explode(sequence(0, {parts} - 1))"))
+    return spread.join(repeated, [*keys, "_salt"], how).drop("_salt")
+
+
 def id_crc(doc_id: str = "doc_id") -> Column:
     """crc32 of the id written as text; null without an id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary"))
