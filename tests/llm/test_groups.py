@@ -80,9 +80,10 @@ def test_near_duplicates_edges(edge, edge_rows, empty):
     assert near_dup.near_duplicates(empty).count() == 0
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_groups_of_near_copies(spark, seed):
-    """Copies at all distances from a base, copies of copies, cuts, and texts that share a passage."""
+@pytest.mark.parametrize("seed, in_part", [(1, 256), (2, 3)])
+def test_groups_of_near_copies(spark, seed, in_part):
+    """Copies at all distances from a base, copies of copies, cuts, and texts that share a passage.
+    Hubs' pairs in one part and in many."""
     rng = random.Random(seed)
     word = lambda: f"w{rng.randrange(10**6)}"
     base = [word() for _ in range(120)]
@@ -100,7 +101,8 @@ def test_groups_of_near_copies(spark, seed):
     rng.shuffle(texts)
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert sorted((tuple(r) for r in near_dup.near_duplicates(df).collect()), key=repr) == plain_components(rows)
+    got = near_dup.near_duplicates(df, near_dup.Linking(pairs_in_part=in_part)).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == plain_components(rows)
 
 
 # ---- mixing -----------------------------------------------------------------------------
