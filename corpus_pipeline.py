@@ -21,6 +21,10 @@ from grantsieve.llm.tables import table, written  # noqa: E402
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: Stages on word shingles link at 0.8. 200 values in 40 bands of 5: a pair at 0.8 shares no
+#: band with a probability of 1.3e-7.
+LINKING = near_dup.Linking(percent=80, functions=100)
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject; fitted as in op6."""
@@ -31,9 +35,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group; rows without a doc_id stay."""
+    """The smallest doc_id of each group linked at 0.8 or more; rows without a doc_id stay."""
     ship_package(spark)
-    found = near_dup.near_duplicates(docs.select("doc_id", "text"))
+    found = near_dup.near_duplicates(docs.select("doc_id", "text"), LINKING)
     gone = found.filter(~F.col("kept")).select("doc_id").distinct()
     return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
 

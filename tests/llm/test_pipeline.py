@@ -1,5 +1,6 @@
 """The pipeline's stages against plain versions of what they decide."""
 
+import random
 import zlib
 
 import numpy as np
@@ -35,3 +36,23 @@ def test_stages_on_empty_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, small).count() == 0
+
+
+def test_near_duplicates_stage_links_from_80_percent(spark, small):
+    """Pairs of 180 shingles with 4 words replaced (160 of 200 in common: 0.80), of 200 with 4
+    (180 of 220: 0.82), and of 170 with 4 (150 of 190: 0.79, not linked)."""
+    rng = random.Random(5)
+    rows, gone = [], set()
+    for shingles in (180, 200, 170):
+        for _ in range(12):
+            words = [f"w{rng.randrange(10**9)}" for _ in range(shingles + 4)]
+            copy = [f"v{rng.randrange(10**9)}" if i in (20, 60, 100, 140) else w for i, w in enumerate(words)]
+            first = len(rows)
+            rows += [(first, " ".join(words)), (first + 1, " ".join(copy))]
+            if shingles != 170:
+                gone.add(first + 1)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "*", "'en' as lang", "'a' as source", "length(text) as n_chars"
+    )
+    left = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, small).select("doc_id").collect()
+    assert {r["doc_id"] for r in left} == {i for i, _ in rows} - gone
