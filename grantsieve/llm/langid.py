@@ -19,11 +19,10 @@ UNKNOWN = "und"
 @dataclass(frozen=True)
 class Settings:
     """sample_docs: expected number of labelled documents per language that the model is
-    fitted on (all, if there are fewer). max_units: most frequent words, and n-grams of each
-    length, that the model keeps over all languages. Both bound the model's size."""
+    fitted on (all, if there are fewer). It bounds the model's size: the model keeps every
+    word and n-gram of the sample."""
 
     sample_docs: int = 3000
-    max_units: int = 60_000
     longest: int = 5
     smoothing: float = 0.5
     memo: int = 200_000
@@ -115,7 +114,7 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
 
     Documents are taken by hash of id at a rate of sample_docs to their language's number of
     documents, so the sample and the model stay of one size while the corpus grows; counting
-    is a Spark job, and at most max_units units of each length reach the driver.
+    is a Spark job, and the sample's distinct units reach the driver as Arrow columns.
     """
     labelled = labelled.filter("lang is not null")
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).toLocalIterator()}
@@ -128,7 +127,6 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
         labelled.filter(drawn).select("lang", "text")
         .mapInArrow(lambda it: count_units(it, settings.longest), "lang string, n int, unit string, count bigint")
         .groupBy("n", "unit").agg(
-            F.sum("count").alias("all"),
             *[F.sum(F.when(F.col("lang") == x, F.col("count"))).alias(f"c{i}") for i, x in enumerate(langs)],
         )
     )
@@ -136,10 +134,10 @@ def fit(labelled: DataFrame, settings: Settings = Settings()) -> Model:
 
     counted = written(counted, "units")
     for n in range(settings.longest + 1):
-        top = counted.filter(F.col("n") == n).orderBy(F.desc("all"), "unit").limit(settings.max_units).toPandas()
-        counts = top[[f"c{i}" for i in range(len(langs))]].fillna(0).to_numpy(float)
+        units = counted.filter(F.col("n") == n).drop("n").orderBy("unit").toArrow()
+        counts = np.column_stack([units[f"c{i}"].fill_null(0).to_numpy() for i in range(len(langs))])
         smooth = counts + settings.smoothing
-        tables.append(({u: i for i, u in enumerate(top["unit"])}, np.log(smooth / smooth.sum(axis=0))))
+        tables.append(({u: i for i, u in enumerate(units["unit"].to_pylist())}, np.log(smooth / smooth.sum(axis=0))))
     return Model(langs, tables, settings.memo)
 
 

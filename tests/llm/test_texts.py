@@ -135,6 +135,17 @@ def test_language(spark, edge, edge_rows, empty, small):
     assert got.filter("held_out and lang_pred = lang").count() >= 0.98 * got.filter("held_out").count()
 
 
+def test_every_unit_of_the_sample_is_known(spark):
+    """Many words of one language push no rarer word of another out of the model."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = [a + b + c + d for a in letters[:4] for b in letters for c in letters for d in letters]
+    rows = [(1, "en", " ".join(words * 2)), (2, "es", "queso zorro")]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"))
+    assert set(model.tables[0][0]) == {*words, "queso", "zorro"}
+    for n in range(1, 6):
+        assert set(model.tables[n][0]) == {g for w in {*words, "queso", "zorro"} for g in langid.grams_of(w, n)}
+
+
 def test_memo_of_words_may_be_small(spark):
     model = langid.Model(["a", "b"], [({"x": 0}, np.array([[0.0, -1.0]])), ({"y": 0}, np.array([[-1.0, 0.0]]))], 2)
     assert model.predict("x y z q w e r t")[0] in "ab"
