@@ -44,8 +44,10 @@ def op2_mixing(spark, sf_dir):
         "weights",
     )
     columns = {d: F.col(d) for d in ("source", "lang", "topic")}
-    p, drawn = mixing.calibrated(docs, mixing.Targets(), columns, F.col("n_tokens"), F.col("key"))
-    return docs.filter(drawn < p).select("doc_id", "source", "lang", "topic", "n_tokens", p.alias("p"))
+    found = mixing.calibrated(docs, mixing.Targets(), columns, F.col("n_tokens"), F.col("key"))
+    return found.filter("drawn < p").select(
+        *[f"doc.{c}" for c in ("doc_id", "source", "lang", "topic", "n_tokens")], "p"
+    )
 
 
 @query

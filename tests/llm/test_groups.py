@@ -139,6 +139,16 @@ def test_drawn_shares(spark):
     assert abs(n["src0"] - 1200) < 150 and abs(n["src1"] - 3600) < 150
 
 
+def test_unlisted_values_are_weighted_against_each_other(spark):
+    """Tokens 6 : 3 : 1 of sources without a target of their own, one of them null: square roots."""
+    source = lambda i: "big" if i % 10 < 6 else "mid" if i % 10 < 9 else None
+    rows = [(i, "one two three four", "en", source(i)) for i in range(10_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    n = {r["source"]: r["count"] for r in mixing.mix(df, mixing.Targets(budget=0.3)).groupBy("source").count().collect()}
+    roots = {"big": 6**0.5, "mid": 3**0.5, None: 1.0}
+    assert all(abs(n[s] - 3000 * x / sum(roots.values())) < 150 for s, x in roots.items())
+
+
 # ---- chat -------------------------------------------------------------------------------
 
 TURNS = [
