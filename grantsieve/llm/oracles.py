@@ -99,6 +99,59 @@ SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(min(re
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id, n.n
 """
 
+
+
+def _merkle(levels: int = 7, upper: int = 4) -> str:
+    """The tree level by level: `levels` over the rows of a source, `upper` over the sources."""
+    field = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')".format
+    names = ("doc_id", "source", "lang", "n_chars")
+    leaf = " || ".join(map(field, (*names, "text")))
+    altered = " || ".join(map(field, (*names, f"translate(text, '{_UPPER}', '{_LOWER}')")))
+    bits = "list_transform(range(8 * length(id)), lambda i: (ascii(id[i // 8 + 1]) >> (i % 8)::INT) & 1)"
+    crc = (
+        f"xor(list_reduce(list_prepend(4294967295, {bits}), "
+        "lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"
+    )
+    run = "OVER (PARTITION BY tree, pos // 16 ORDER BY pos ROWS BETWEEN {} AND {})".format
+    ctes = [
+        f"d AS MATERIALIZED (SELECT *, sha256({leaf}) AS leaf, sha256({altered}) AS altered, {crc} AS crc "
+        "FROM (SELECT *, doc_id::VARCHAR AS id FROM documents))",
+        "l0 AS MATERIALIZED (SELECT dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, "
+        "row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, "
+        "count(*) OVER (PARTITION BY source) AS n, leaf AS h, doc_id, CASE WHEN crc % 5 = 0 THEN altered END AS altered FROM d)",
+        "w0 AS MATERIALIZED (SELECT doc_id, tree, pos, h AS leaf, coalesce(altered, h) AS f, '' AS proof FROM l0)",
+    ]
+    for k in range(levels + upper):
+        if k == levels:  # the subroots are the leaves of the tree over the sources
+            ctes += [
+                f"r{k} AS MATERIALIZED (SELECT tree, h FROM l{k})",
+                f"l{k}u AS MATERIALIZED (SELECT 0 AS tree, tree AS pos, count(*) OVER () AS n, h FROM r{k})",
+                f"w{k}u AS MATERIALIZED (SELECT doc_id, 0 AS tree, w.tree AS pos, leaf, f, proof, r.h AS subroot "
+                f"FROM w{k} w JOIN r{k} r USING (tree))",
+            ]
+        own, way = ("l", "w") if k < levels else ("m", "v")
+        if k == levels:
+            ctes += [f"m{k} AS (SELECT * FROM l{k}u)", f"v{k} AS (SELECT * FROM w{k}u)"]
+        kept = "doc_id, leaf" if k < levels else "doc_id, leaf, subroot"
+        ctes += [
+            f"s{k} AS MATERIALIZED (SELECT tree, pos, n, "
+            f"coalesce(string_agg(h, '') {run('UNBOUNDED PRECEDING', '1 PRECEDING')}, '') AS b, "
+            f"coalesce(string_agg(h, '') {run('1 FOLLOWING', 'UNBOUNDED FOLLOWING')}, '') AS a FROM {own}{k})",
+            f"{own}{k + 1} AS MATERIALIZED (SELECT tree, pos // 16 AS pos, (max(n) + 15) // 16 AS n, "
+            f"CASE WHEN max(n) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY pos)) END AS h "
+            f"FROM {own}{k} GROUP BY tree, pos // 16)",
+            f"{way}{k + 1} AS MATERIALIZED (SELECT {kept}, w.tree, w.pos // 16 AS pos, "
+            f"CASE WHEN n = 1 THEN f ELSE sha256(b || f || a) END AS f, "
+            f"proof || CASE WHEN n = 1 THEN '' ELSE b || a END AS proof FROM {way}{k} w JOIN s{k} USING (tree, pos))",
+        ]
+    last = levels + upper
+    return (
+        f"WITH {', '.join(ctes)} SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, "
+        f"f AS folded_root, f = h AS verified FROM v{last} JOIN m{last} USING (tree)"
+    )
+
+
 ORACLES = {
     "op4_host_rules": HOST_RULES, "op5_line_dedup": LINE_DEDUP, "op7_chat": CHAT, "op8_near_dup": NEAR_DUP,
+    "op11_merkle": _merkle(),
 }

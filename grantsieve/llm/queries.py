@@ -8,7 +8,9 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, host_rules, langid, line_dedup, mixing, near_dup, pii, quality, token_files
+from . import (
+    chat, decontaminate, host_rules, langid, line_dedup, merkle, mixing, near_dup, pii, quality, token_files,
+)
 from ..session import shared_folder
 from .shipping import ship_package
 from .tables import id_crc, table, written
@@ -110,6 +112,11 @@ def op10_token_files(spark, sf_dir):
     return token_table(spark, table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_merkle(spark, sf_dir):
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
 def token_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
     folder = shared_folder(spark, "tokens")
     if "://" not in folder and not folder.startswith("file:"):
