@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, decontaminate, host_rules, langid, line_dedup, merkle, mixing, near_dup, pii, quality, token_files,
+    chat, decontaminate, host_rules, langid, line_dedup, merkle, mixing, near_dup, packing, pii, quality, token_files,
 )
 from ..session import shared_folder
 from .shipping import ship_package
@@ -117,6 +117,11 @@ def op11_merkle(spark, sf_dir):
     return merkle.digest(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), token_files.vocabulary("byte_bpe_50k.json"))
+
+
 def token_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
     folder = shared_folder(spark, "tokens")
     if "://" not in folder and not folder.startswith("file:"):
