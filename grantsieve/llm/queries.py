@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    chat, decontaminate, host_rules, langid, line_dedup, merkle, mixing, near_dup, packing, pii, quality, token_files,
+    chat, decontaminate, host_rules, langid, line_dedup, merkle, mixing, near_dup, packing, pii, quality,
+    token_alignment, token_files,
 )
 from ..session import shared_folder
 from .shipping import ship_package
@@ -122,6 +123,12 @@ def op12_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), token_files.vocabulary("byte_bpe_50k.json"))
 
 
+@query
+def op13_token_alignment(spark, sf_dir):
+    a, b = (token_files.vocabulary(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"), a, b)
+
+
 def token_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
     folder = shared_folder(spark, "tokens")
     if "://" not in folder and not folder.startswith("file:"):

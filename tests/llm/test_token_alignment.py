@@ -1,0 +1,131 @@
+"""Alignment of two vocabularies against plain loops over whole texts."""
+
+import hashlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from grantsieve.llm import token_alignment
+from grantsieve.llm.byte_level import byte_of_sign
+from grantsieve.llm.queries import QUERIES
+from grantsieve.llm.token_files import vocabulary
+
+A, B = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def tools():
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=B)
+
+
+def plain(docs, tools):
+    a, b = tools
+    signs = byte_of_sign()
+    found, counts = [], Counter()
+    for doc_id, text in docs:
+        groups, links, n_a, n_b = [], [], 0, 0
+        if text:
+            ia, ib = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+            xa = [bytes(signs[c] for c in a.id_to_token(i)) for i in ia]
+            pieces = [b.id_to_piece(i) for i in ib]
+            xb = [bytes.fromhex(p[3:5]) if b.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(ib, pieces)]
+            if b"".join(xa) == b"".join(xb) == (" " + text).encode():
+                n_a, n_b = len(ia), len(ib)
+                ends = []
+                for tokens in (xa, xb):
+                    at, out = 0, []
+                    for t in tokens:
+                        out.append((at, at + len(t)))
+                        at += len(t)
+                    ends.append(out)
+                shared = sorted({e for _, e in ends[0]} & {e for _, e in ends[1]})
+                side = [defaultdict(list), defaultdict(list)]
+                at = [0, 0]
+                for s in shared:
+                    for k, ids in enumerate((ia, ib)):
+                        while at[k] < len(ids) and ends[k][at[k]][1] <= s:
+                            side[k][s].append(str(ids[at[k]]))
+                            at[k] += 1
+                    groups.append(f"{','.join(side[0][s])}|{','.join(side[1][s])}")
+                j = 0
+                for i, (p, q) in enumerate(ends[0]):
+                    while ends[1][j][1] <= p:
+                        j += 1
+                    k = j
+                    while k < n_b and ends[1][k][0] < q:
+                        links.append((ia[i], ib[k]))
+                        k += 1
+        counts.update(links)
+        found.append((doc_id, n_a, n_b, groups, links))
+    most = {}
+    for (_, y), n in counts.items():
+        most[y] = max(n, most.get(y, 0))
+    return sorted(
+        (
+            (doc_id, n_a, n_b, len(groups), len(links),
+             hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "",
+             sum(counts[x] == most[x[1]] for x in links), sum(counts[x] for x in links))
+            for doc_id, n_a, n_b, groups, links in found
+        ),
+        key=repr,
+    )
+
+
+def rows(df):
+    return sorted((tuple(r[c] for c in token_alignment.DOC) for r in df.collect()), key=repr)
+
+
+def test_query(spark, small, tools):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    got = rows(QUERIES["op13_token_alignment"](spark, small))
+    assert got == plain(docs, tools)
+    assert sum(r[1] for r in got) > 10_000
+
+
+ODD = [
+    "", " ", "  ", "\n", "a", " a", "  a  b ", "a\n\n b\tc", "▁", "a▁b ▁c", "<0x41> <s> </s> <unk> <|endoftext|>", "日本語 テキスト",
+    "🙂 🙂🙂a", "Zażółć gęślą jaźń", "x y　z", "ﬁ ² ½ É é", "it's we'll, (end).", "\x00 a\x01", "a\r\nb", "­soft ­hyphen",
+    "0123456789 12,345.67", "word " * 3000, "unbroken" * 2000, "﻿bom a", "العربية نص", "a‍b c",
+]
+
+
+def test_edges(edge, edge_rows, empty, tools):
+    got = rows(token_alignment.align_documents(edge, A, B))
+    assert got == plain([r[:2] for r in edge_rows], tools)
+    assert token_alignment.align_documents(empty, A, B).count() == 0
+
+
+def test_odd_texts_and_small_blocks(spark, tools, monkeypatch):
+    docs = [(i, t) for i, t in enumerate(ODD + ODD[::-1])]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    want = plain(docs, tools)
+    assert rows(token_alignment.align_documents(df, A, B)) == want
+    assert {r[0] for r in want if not r[1]} >= {0, 8, 9}  # empty, and texts that hold U+2581
+    groups = {r["doc_id"]: r["groups"] for r in token_alignment.token_groups(df, A, B).collect()}
+    assert {i: hashlib.sha256(g.encode()).hexdigest() if g else "" for i, g in groups.items()} == {r[0]: r[5] for r in want}
+
+
+def test_many_blocks_give_the_same(tools):
+    """A block per document numbers windows anew; its pages hold all that the counts need."""
+    import pyarrow as pa
+
+    tool = token_alignment.Aligner(A, B)
+    texts = [t for t in ODD if t]
+    one = token_alignment.Block(tool)
+    one.add(list(range(len(texts))), texts)
+    counts = dict(zip(*map(list, one.pages()[1:])))
+    summed = Counter()
+    for i, t in enumerate(texts):
+        block = token_alignment.Block(tool)
+        block.add([i], [t])
+        pages, pairs, n = block.pages()
+        summed.update(dict(zip(pairs.tolist(), n.tolist())))
+        stats = pa.table({"pair": pairs[::-1], "n": n[::-1], "best": [True] * len(n)})
+        row = token_alignment._scored(pa.table({"pages": [pages]}), stats).to_pylist()[0]
+        assert row["n_best"] == row["n_links"] and row["count_sum"] == sum(x * x for x in n.tolist())
+    assert summed == counts
