@@ -12,13 +12,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_MEMO_WORDS = 200_000
+_MEMO_WORDS = 250_000
 _GROUP = 256
 _SLICE_BYTES = 2_000_000
 # a space that no other sign than white space follows starts no word
 _LOOSE = re.compile(r" (?:\s|\Z)").search
 _CUT = re.compile(r" (?=\S)").split
 _ENDING = re.compile(r"(?<=[A-Za-z0-9])[.,;:!?)]+\Z").search
+_END_SIGNS = frozenset(".,;:!?)")
 
 
 def byte_of_sign() -> dict[str, int]:
@@ -63,16 +64,22 @@ class ByteLevelEncoder:
 
     def _learn(self, words: set[str]) -> None:
         """Words by their keys: a word behind a space as it is, the start of a text behind a space."""
-        young, old, missing, ended = self.young, self.old, set(), []
-        for w in words.difference(young):
-            if (ids := old.get(w)) is not None:
-                young[w] = ids
-            elif w[0] != " " and (end := _ENDING(w)):  # a run of such signs is a token of its own
-                parts = w[: end.start()], " " + w[end.start() :]
-                missing.update(p for p in parts if p not in young)
-                ended.append((w, *parts))
+        young, old, ended = self.young, self.old, []
+        words = words.difference(young)
+        if old and words:
+            known = words.intersection(old)
+            young.update(zip(known, map(old.__getitem__, known)))
+            words.difference_update(known)
+        ending = [w for w in words if w[-1] in _END_SIGNS]
+        words.difference_update(ending)
+        for w in ending:
+            if w[0] != " " and (end := _ENDING(w)):  # a run of such signs is a token of its own
+                word, signs = w[: end.start()], " " + w[end.start() :]
+                ended.append((w, word, signs))
+                words.update(x for x in (word, signs) if x not in young)
             else:
-                missing.add(w)
+                words.add(w)
+        missing = list(words)
         starts = [w for w in missing if w[0] == " "]
         for w, ids in zip(starts, self._ids([w[1:] for w in starts])):
             young[w] = ids.tobytes()
