@@ -24,7 +24,6 @@ from .byte_level import byte_level_encoder, text_slices
 from .tables import written
 
 _BLOCK_BYTES = 16_000_000
-_MEMO_WINDOWS = 150_000
 _ID_BITS = 16
 #: No id of either vocabulary: parts the two sides of a window's key.
 _BETWEEN = b"\xff\xff"
@@ -45,7 +44,7 @@ class Aligner:
             raise ValueError("vocabularies of 65,535 ids or more are not supported")
         self.a_size, self.b_size = (np.array([len(x) for x in v], np.int64) for v in (self.a_bytes, self.b_bytes))
         self.a_space, self.b_space = (np.array([x[:1] == b" " for x in v]) for v in (self.a_bytes, self.b_bytes))
-        self.window = lru_cache(maxsize=_MEMO_WINDOWS)(self._window)
+        self.written = [[f"{i}{sign}" for i in range(1 << _ID_BITS)] for sign in ",|;"]
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -83,27 +82,36 @@ class Aligner:
         ]
         return keys, np.searchsorted(a_cut, starts, side="right")
 
-    def _window(self, key: bytes) -> tuple[str, int, np.ndarray]:
-        """Groups as text, their number, and the linked pairs as a << 16 | b."""
-        ids = np.frombuffer(key, "<u2").tolist()
-        cut = ids.index(0xFFFF)
-        a, b = ids[:cut], ids[cut + 1 :]
-        groups, links = [], []
-        i = j = a_from = b_from = 0
-        a_end, b_end = len(self.a_bytes[a[0]]), len(self.b_bytes[b[0]])
-        while True:
-            links.append(a[i] << _ID_BITS | b[j])
-            a_done, b_done = a_end <= b_end, b_end <= a_end
-            i, j = i + a_done, j + b_done
-            if a_done and b_done:
-                groups.append(f"{','.join(map(str, a[a_from:i]))}|{','.join(map(str, b[b_from:j]))}")
-                a_from, b_from = i, j
-                if i == len(a):
-                    return ";".join(groups), len(groups), np.array(links, np.uint32)
-            if a_done:
-                a_end += len(self.a_bytes[a[i]])
-            if b_done:
-                b_end += len(self.b_bytes[b[j]])
+    def align(self, keys: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Windows by their keys, all at once: the groups of each as text, their numbers, the
+        numbers of links, and the linked pairs as a << 16 | b, window after window.
+
+        Between two neighbouring ends, of either side, lie exactly one token of A and one of B,
+        and each overlap of two tokens is one such stretch.
+        """
+        ids = np.frombuffer(b"".join(keys), "<u2")
+        window = np.repeat(np.arange(len(keys)), [len(k) // 2 for k in keys])
+        middle = np.flatnonzero(ids == 0xFFFF)
+        place = np.arange(len(ids)) - middle[window]
+        a, b, a_window = ids[place < 0], ids[place > 0], window[place < 0]
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        ends = np.union1d(a_ends, b_ends)
+        a_at = np.searchsorted(a_ends, ends)
+        pairs = a[a_at].astype(np.uint32) << np.uint32(_ID_BITS) | b[np.searchsorted(b_ends, ends)]
+        a_shared, b_shared = np.isin(a_ends, b_ends, assume_unique=True), np.isin(b_ends, a_ends, assume_unique=True)
+        n_groups = np.bincount(a_window[a_shared], minlength=len(keys))
+        n_links = np.bincount(a_window[a_at], minlength=len(keys))
+        # tokens in the order of the text: by group, A's before B's; each with the sign behind it
+        group = np.concatenate([np.cumsum(a_shared) - a_shared, np.cumsum(b_shared) - b_shared])
+        side = np.repeat([0, 1], [len(a), len(b)])
+        order = np.argsort(2 * group + side, kind="stable")
+        last = np.concatenate([a_shared, b_shared])
+        sign = np.where(last, 1 + side, 0)[order].tolist()
+        number = np.concatenate([a, b])[order].tolist()
+        tokens = [self.written[k][i] for k, i in zip(sign, number)]
+        stops = np.cumsum(np.bincount(window, minlength=len(keys)) - 1).tolist()
+        texts = ["".join(tokens[i:j])[:-1] for i, j in zip([0, *stops], stops)]
+        return texts, n_groups, n_links, pairs
 
 
 @lru_cache(maxsize=1)
@@ -117,11 +125,25 @@ class Block:
 
     aligner: Aligner
     number: dict[bytes, int] = field(default_factory=dict)
-    found: list[tuple[str, int, np.ndarray]] = field(default_factory=list)
+    texts: list[str] = field(default_factory=list)
+    n_groups: list[np.ndarray] = field(default_factory=list)
+    n_links: list[np.ndarray] = field(default_factory=list)
+    links: list[np.ndarray] = field(default_factory=list)
     rows: list[tuple] = field(default_factory=list)
     lists: list[np.ndarray] = field(default_factory=list)
     size: int = 0
 
+    def _numbers(self, keys: list[bytes]) -> np.ndarray:
+        """Windows by number; new ones are aligned."""
+        new = list(set(keys).difference(self.number))
+        if new:
+            self.number.update(zip(new, range(len(self.texts), len(self.texts) + len(new))))
+            texts, *arrays = self.aligner.align(new)
+            self.texts += texts
+            for kept, x in zip((self.n_groups, self.n_links, self.links), arrays):
+                kept.append(x)
+        return np.fromiter(map(self.number.__getitem__, keys), np.uint32, len(keys))
+
     def add(self, doc_ids: list[int | None], texts: list[str | None]) -> list[str]:
         """Takes documents in and returns their groups as text."""
         self.size += sum(len(t) for t in texts if t)
@@ -131,36 +153,34 @@ class Block:
         if good:
             starts = np.cumsum([len(a) for a, _ in good])
             keys, ends = self.aligner.windows(*(np.concatenate(side) for side in zip(*good)), starts)
-            for k in set(keys).difference(self.number):
-                self.number[k] = len(self.found)
-                self.found.append(self.aligner.window(k))
-            windows = np.fromiter(map(self.number.__getitem__, keys), np.uint32, len(keys))
+            windows = self._numbers(keys)
             bounds = iter(zip([0, *ends.tolist()], ends.tolist()))
-        out = []
+        out, text_of = [], self.texts.__getitem__
         for doc_id, pair in zip(doc_ids, ids):
             own = windows[slice(*next(bounds))] if pair is not None else windows[:0]
-            parts = [self.found[w] for w in own.tolist()]
-            groups = ";".join([p[0] for p in parts])
-            sha = hashlib.sha256(groups.encode()).hexdigest() if parts else ""
+            groups = ";".join(map(text_of, own.tolist()))
             n_a, n_b = map(len, pair) if pair is not None else (0, 0)
-            self.rows.append((doc_id, n_a, n_b, sum(p[1] for p in parts), sum(len(p[2]) for p in parts), sha))
+            self.rows.append((doc_id, n_a, n_b, hashlib.sha256(groups.encode()).hexdigest() if groups else ""))
             self.lists.append(own)
             out.append(groups)
         return out
 
     def pages(self) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """The documents and the windows as compressed tables, then the pairs and their counts."""
-        windows = np.concatenate(self.lists) if self.lists else np.empty(0, np.uint32)
-        sizes = np.array([len(f[2]) for f in self.found], np.int64)
-        links = np.concatenate([f[2] for f in self.found]) if self.found else np.empty(0, np.uint32)
+        joined = lambda arrays, kind: np.concatenate([*arrays, np.empty(0, kind)])
+        windows, links = joined(self.lists, np.uint32), joined(self.links, np.uint32)
+        n_links, n_groups = joined(self.n_links, np.int64), joined(self.n_groups, np.int64)
         pairs, rank = np.unique(links, return_inverse=True)
-        times = np.bincount(windows, minlength=len(self.found))
+        times = np.bincount(windows, minlength=len(self.texts))
         # sums of whole numbers far below 2 ** 53
-        counts = np.bincount(rank, np.repeat(times, sizes), len(pairs)).astype(np.int64)
-        columns = [pa.array(c, t) for c, t in zip(zip(*self.rows), [pa.int64()] * 5 + [pa.string()])]
-        docs = pa.table([*columns, _lists([len(x) for x in self.lists], windows)], [*DOC[:6], "windows"])
-        links = pa.table([_lists(sizes, rank.astype(np.uint32))], ["pairs"])
-        return [_packed(docs), _packed(links)], pairs.astype(np.int64), counts
+        counts = np.bincount(rank, np.repeat(times, n_links), len(pairs)).astype(np.int64)
+        bounds = np.cumsum([0, *[len(x) for x in self.lists]])
+        sums = [_sums(n[windows], bounds) for n in (n_groups, n_links)]
+        doc_ids, n_a, n_b, sha = zip(*self.rows)
+        columns = [pa.array(c, pa.int64()) for c in (doc_ids, n_a, n_b, *sums)]
+        docs = pa.table([*columns, pa.array(sha), _lists(bounds, windows)], [*DOC[:6], "windows"])
+        of_windows = pa.table([_lists(np.cumsum([0, *n_links]), rank.astype(np.uint32))], ["pairs"])
+        return [_packed(docs), _packed(of_windows)], pairs.astype(np.int64), counts
 
 
 DOC = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_best", "count_sum")
@@ -168,9 +188,14 @@ DOCS = ", ".join(f"{c} {'string' if c == 'groups_sha256' else 'bigint'}" for c i
 BLOCKS = "block bigint, pages array<binary>, pair bigint, n bigint"
 
 
-def _lists(sizes: Iterable[int], values: np.ndarray) -> pa.LargeListArray:
-    offsets = np.concatenate([[0], np.cumsum(np.asarray(sizes, np.int64))])
-    return pa.LargeListArray.from_arrays(pa.array(offsets, pa.int64()), pa.array(values, pa.uint32()))
+def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sums between neighbouring bounds."""
+    upto = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    return upto[bounds[1:]] - upto[bounds[:-1]]
+
+
+def _lists(bounds: np.ndarray, values: np.ndarray) -> pa.LargeListArray:
+    return pa.LargeListArray.from_arrays(pa.array(bounds, pa.int64()), pa.array(values, pa.uint32()))
 
 
 def _packed(t: pa.Table) -> bytes:
@@ -242,9 +267,8 @@ def _scored(pages: pa.Table, stats: pa.Table) -> pa.Table:
     bounds, windows = _list_values(docs["windows"])
     sums = []
     for column in (stats["best"].cast(pa.int64()), stats["n"]):
-        of_link = np.concatenate([[0], np.cumsum(column.to_numpy()[order][rank])])
-        of_window = np.concatenate([[0], np.cumsum((of_link[at[1:]] - of_link[at[:-1]])[windows])])
-        sums.append(pa.array(of_window[bounds[1:]] - of_window[bounds[:-1]], pa.int64()))
+        of_window = _sums(column.to_numpy()[order][rank], at)
+        sums.append(pa.array(_sums(of_window[windows], bounds), pa.int64()))
     return pa.table([docs[c] for c in DOC[:6]] + sums, list(DOC))
 
 
