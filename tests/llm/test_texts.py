@@ -172,7 +172,7 @@ def test_passages(spark, edge, empty):
     docs = spark.createDataFrame(
         [(1, "before " + ITEM + " after"), (2, "x " * 500 + edited + "!!"), (3, "The quick brown fox likes other things."),
          (4, None), (None, ITEM), (5, ITEM.replace(" ", "\n ")), (5, ITEM)], "doc_id bigint, text string")
-    items = spark.createDataFrame([(7, ITEM, "z"), (8, None, "z"), (9, "short", "z"), (None, "", "z")], "item_id bigint, text string, doc_id string")
+    items = spark.createDataFrame([(7, ITEM, "z"), (8, None, "z"), (9, "shirt", "z"), (None, "", "z")], "item_id bigint, text string, doc_id string")
     found = decontaminate.find_passages(docs, items).collect()
     assert sorted((r["doc_id"] or 0, r["item_id"]) for r in found) == [(0, 7), (1, 7), (2, 7), (5, 7), (5, 7)]
     by_doc = {r["doc_id"]: r for r in found}
@@ -186,6 +186,28 @@ def test_passages(spark, edge, empty):
     assert decontaminate.find_passages(docs, items, blocks).count() == 5
 
 
+def test_short_items_are_found_unchanged_between_words(spark):
+    """Items of 3, 8 and 23 characters: as they are, with other case and white space, inside a
+    word, with one sign changed, and at both ends of a text."""
+    items = {3: "abc", 8: "abcd 12?", 23: "what is 7 times 8, now?"}
+    assert {k: len(v) for k, v in items.items()} == {k: k for k in items}
+    docs, want = [], set()
+    for m, item in items.items():
+        for n, (text, hit) in enumerate([
+            (item, True), (f"so {item} it is", True), (f"So\n{item.upper()}\tthen", True), (f"({item})", True),
+            (f"x{item}", False), (f"{item[:-1]}x and", False), (f"{item} {item}", True), ("", False), (None, False),
+        ]):
+            docs.append((100 * m + n, text))
+            want |= {(100 * m + n, m)} if hit else set()
+    docs.append((7, items[3] + "d " + items[23]))
+    want.add((7, 23))
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    found = decontaminate.find_passages(docs, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == sorted(want)
+    assert all(r["edits"] == 0 and r["end"] - r["start"] == r["item_id"] for r in found)
+
+
 def edit_distance_inside(item, text):
     row = [0] * (len(text) + 1)
     for i, c in enumerate(item, 1):
