@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -19,8 +21,11 @@ from pyspark import TaskContext
 
 END_ID = 2
 _MEMO_CHUNKS = 250_000
+_GROUP = 256
+_ENDING = re.compile(rb"(?<=[A-Za-z0-9])[.,;:!?)]+\Z").search
+_END_SIGNS = frozenset(b".,;:!?)")
 _READ_IDS = 4_000_000
-_BATCH_BYTES = 16_000_000
+_BATCH_BYTES = 2_000_000
 
 
 class Encoder:
@@ -28,7 +33,8 @@ class Encoder:
 
     The vocabulary's pre-tokenizer never joins signs across white space, so a text's ids are
     those of its white-space-free chunks one after another. Chunks are encoded once while they
-    stay in the memo; only new ones reach the tokenizer, many at a time.
+    stay in the memo. New ones of letters alone, each one word to the vocabulary, reach the
+    tokenizer many in one text, and are told apart by the tokens that end a word.
     """
 
     def __init__(self, path: str):
@@ -36,22 +42,47 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            mark = json.load(f)["model"]["end_of_word_suffix"]
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(mark)]] = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, self.dtype) for e in found]
+
     def _learn(self, chunks: set[bytes]) -> None:
-        missing = []
-        for c in chunks.difference(self.young):
-            if (ids := self.old.get(c)) is not None:
-                self.young[c] = ids
+        young, old, ended = self.young, self.old, []
+        chunks = chunks.difference(young)
+        if old and chunks:
+            known = chunks.intersection(old)
+            young.update(zip(known, map(old.__getitem__, known)))
+            chunks.difference_update(known)
+        ending = [c for c in chunks if c[-1] in _END_SIGNS]
+        chunks.difference_update(ending)
+        for c in ending:
+            if end := _ENDING(c):  # a run of such signs is a token of its own
+                word, signs = c[: end.start()], c[end.start() :]
+                ended.append((c, word, signs))
+                chunks.update(x for x in (word, signs) if x not in young)
             else:
-                missing.append(c)
-        for i in range(0, len(missing), 10_000):
-            part = missing[i : i + 10_000]
-            encoded = self.tokenizer.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)
-            for c, e in zip(part, encoded):
-                self.young[c] = np.array(e.ids, self.dtype).tobytes()
+                chunks.add(c)
+        words = [c for c in chunks if c.isalpha()]  # of ASCII letters
+        others = {c: c.decode("utf-8", "replace") for c in chunks.difference(words)}
+        words += [c for c, text in others.items() if text.lower().isalpha()]
+        groups = [words[i : i + _GROUP] for i in range(0, len(words), _GROUP)]
+        for group, ids in zip(groups, self._ids([b" ".join(g).decode("utf-8", "replace") for g in groups])):
+            data, stops = ids.tobytes(), ((np.flatnonzero(self.ends_word[ids]) + 1) * self.dtype.itemsize).tolist()
+            if len(stops) == len(group):  # else a letter that the vocabulary's library doesn't know as one
+                young.update((c, data[a:b]) for c, a, b in zip(group, [0, *stops], stops))
+        alone = [c for c in (*others, *words) if c not in young]
+        for c, ids in zip(alone, self._ids([c.decode("utf-8", "replace") for c in alone])):
+            young[c] = ids.tobytes()
+        for c, word, signs in ended:
+            young[c] = young[word] + young[signs]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.young) > _MEMO_CHUNKS:

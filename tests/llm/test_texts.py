@@ -1,6 +1,7 @@
 """Operators that look at one text at a time, against plain versions."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -254,3 +255,17 @@ def test_chunks_encode_as_the_whole_text(text):
     e = token_files.encoder(token_files.vocabulary())
     ids = np.frombuffer(e.encode([text.encode()])[0], e.dtype).tolist()
     assert ids == e.tokenizer.encode(text, add_special_tokens=False).ids + [2]
+
+
+def test_token_ids_of_words_in_one_text_are_those_of_whole_texts():
+    from tokenizers import Tokenizer
+
+    rng = random.Random(2)
+    signs = ["a", "Bc", "é", "É", "9", ".", ",", "'s", " ", " ", "日", "🙂", "_", ")", "İ", "Σ", "ς", "ʼn", "ﬁ", "ǅ", "²", "\U0001df00", "\n"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 30))) for _ in range(4000)]
+    texts += ["<|endoftext|>", "a<|endoftext|>b, <|startoftext|>", "end.) ...", "x..., y;:!?", "\U00031350 \U0001df25x abc"]
+    path = token_files.vocabulary()
+    encoder, t = token_files.Encoder(path), Tokenizer.from_file(path)
+    for _ in range(2):
+        got = [np.frombuffer(b, encoder.dtype).tolist() for b in encoder.encode([x.encode() for x in texts])]
+        assert got == [e.ids + [2] for e in t.encode_batch(texts, add_special_tokens=False)]
