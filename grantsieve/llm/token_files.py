@@ -34,24 +34,32 @@ class Encoder:
     The vocabulary's pre-tokenizer never joins signs across white space, so a text's ids are
     those of its white-space-free chunks one after another. Chunks are encoded once while they
     stay in the memo. New ones of letters alone, each one word to the vocabulary, reach the
-    tokenizer many in one text, and are told apart by the tokens that end a word.
+    tokenizer many in one text, and are told apart by the tokens that end a word. The vocabulary
+    folds case, so A-Z are lower-cased first; what words of a-z are then split and folded by
+    leaves them as they are, so for these a copy of the tokenizer splits at spaces alone.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            mark = json.load(f)["model"]["end_of_word_suffix"]
+            spec = json.load(f)
+        mark, steps = spec["model"]["end_of_word_suffix"], (spec["normalizer"] or {}).get("normalizers", ())
+        if not mark or not any(n["type"] == "Lowercase" for n in steps):
+            raise ValueError("a vocabulary with ends of words that folds case is needed")
+        self.special = [t["content"].lower().encode() for t in spec["added_tokens"]]
+        self.of_words = Tokenizer.from_file(path)
+        self.of_words.normalizer, self.of_words.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
         self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(mark)]] = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    def _ids(self, texts: list[str], tokenizer=None) -> list[np.ndarray]:
+        found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype) for e in found]
 
     def _learn(self, chunks: set[bytes]) -> None:
@@ -70,14 +78,16 @@ class Encoder:
                 chunks.update(x for x in (word, signs) if x not in young)
             else:
                 chunks.add(c)
-        words = [c for c in chunks if c.isalpha()]  # of ASCII letters
+        words = [c for c in chunks if c.isalpha() and c.islower()]  # of a-z
         others = {c: c.decode("utf-8", "replace") for c in chunks.difference(words)}
-        words += [c for c, text in others.items() if text.lower().isalpha()]
-        groups = [words[i : i + _GROUP] for i in range(0, len(words), _GROUP)]
-        for group, ids in zip(groups, self._ids([b" ".join(g).decode("utf-8", "replace") for g in groups])):
-            data, stops = ids.tobytes(), ((np.flatnonzero(self.ends_word[ids]) + 1) * self.dtype.itemsize).tolist()
-            if len(stops) == len(group):  # else a letter that the vocabulary's library doesn't know as one
-                young.update((c, data[a:b]) for c, a, b in zip(group, [0, *stops], stops))
+        of_letters = [c for c, text in others.items() if text.lower().isalpha()]
+        for some, tokenizer in ((words, self.of_words), (of_letters, self.tokenizer)):
+            groups = [some[i : i + _GROUP] for i in range(0, len(some), _GROUP)]
+            texts = [b" ".join(g).decode("utf-8", "replace") for g in groups]
+            for group, ids in zip(groups, self._ids(texts, tokenizer)):
+                data, stops = ids.tobytes(), ((np.flatnonzero(self.ends_word[ids]) + 1) * self.dtype.itemsize).tolist()
+                if len(stops) == len(group):  # else a letter that the vocabulary's library doesn't know as one
+                    young.update((c, data[a:b]) for c, a, b in zip(group, [0, *stops], stops))
         alone = [c for c in (*others, *words) if c not in young]
         for c, ids in zip(alone, self._ids([c.decode("utf-8", "replace") for c in alone])):
             young[c] = ids.tobytes()
@@ -87,7 +97,9 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.young) > _MEMO_CHUNKS:
             self.old, self.young = self.young, {}
-        chunks = [t.split() for t in texts]
+        folded = [t.lower() for t in texts]
+        # lower-casing must not make a special string of a text
+        chunks = [(t if any(s in low for s in self.special) else low).split() for t, low in zip(texts, folded)]
         self._learn(set().union(*chunks))
         get = self.young.__getitem__
         end = np.array([END_ID], self.dtype).tobytes()

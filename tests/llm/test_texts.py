@@ -263,7 +263,7 @@ def test_token_ids_of_words_in_one_text_are_those_of_whole_texts():
     rng = random.Random(2)
     signs = ["a", "Bc", "é", "É", "9", ".", ",", "'s", " ", " ", "日", "🙂", "_", ")", "İ", "Σ", "ς", "ʼn", "ﬁ", "ǅ", "²", "\U0001df00", "\n"]
     texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 30))) for _ in range(4000)]
-    texts += ["<|endoftext|>", "a<|endoftext|>b, <|startoftext|>", "end.) ...", "x..., y;:!?", "\U00031350 \U0001df25x abc"]
+    texts += ["<|endoftext|>", "a<|endoftext|>b, <|startoftext|>", "Ab <|ENDOFTEXT|> ABC, dE. <|EndOfText|>x", "end.) ...", "x..., y;:!?", "\U00031350 \U0001df25x abc"]
     path = token_files.vocabulary()
     encoder, t = token_files.Encoder(path), Tokenizer.from_file(path)
     for _ in range(2):
