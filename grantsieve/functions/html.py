@@ -2,8 +2,8 @@
 
 Every operator is a short chain of built-in string expressions over the page source,
 so pages are processed inside the JVM as they are scanned. Supported is the regular
-subset of HTML: tags may carry quoted attributes holding ``>``, but nested elements of
-the same name (``main`` in ``main``, ``li`` in ``li``) end at the first closing tag.
+subset of HTML: tags may carry quoted attributes holding ``>``. Where elements of one name
+are nested (``main`` in ``main``, ``li`` in ``li``), tags are counted: see ``_enclosed``.
 """
 
 from __future__ import annotations
@@ -23,7 +23,9 @@ from .text import clean_text, let, or_null, sql_text, strip_space
 # A quote opens a value behind "=" only.
 _ATTRIBUTES = r"""(?:[^>=]++|=(?:\s*+(?:"[^"]*+"|'[^']*+'))?+)*+"""
 _CDATA = r"<!\[CDATA\[((?:[^\]]++|\](?!\]>))*+)\]\]>"
-_MARKUP = rf"{_CDATA}|<[A-Za-z/!?](?:{_ATTRIBUTES}>|[^>]*+>)"
+# most tags have no attributes, and few pages sections of character data
+_TAG = rf"<[A-Za-z/!?](?:[^>=]*+>|{_ATTRIBUTES}>|[^>]*+>)"
+_MARKUP = rf"{_CDATA}|{_TAG}"
 
 
 def _up_to(closing: str) -> str:
@@ -49,16 +51,75 @@ def visible_markup(html: Column, hidden_elements: Iterable[str]) -> Column:
     return F.regexp_replace(html, f"(?i)<(?:{comment}|{element})", " ")
 
 
+def _tag_of(names: str, closing: str = "") -> str:
+    """Start of an opening tag (or, with ``/``, a closing one) of the given names."""
+    return rf"<{closing}(?:{names})(?=[\s/>])"
+
+
+def _entangled(name: str, names: str) -> str:
+    """An element of that name in which another tag of ``names`` than its own closing one comes
+    first: it holds such elements, or is left open."""
+    return rf"(?i){_tag_of(name)}(?:[^<]++|<(?!/?(?:{names})(?=[\s/>])))*+(?!</{name})"
+
+
+# The markup is cut in front of every tag that counts. The elements that are open form a
+# stack of (name, piece): an opening tag adds one, unless it closes itself; a closing tag ends
+# the last open element of its name and all that were opened in it, or nothing if there is none.
+# `hit` is the piece of the wanted element, `upto` the piece that ends it.
+_WALK = """
+aggregate(
+  sequence(1, size(p)),
+  named_struct('open', cast(array() AS array<struct<name:string,at:int>>), 'hit', 0, 'upto', 0),
+  (a, i) -> if(a.upto > 0, a, transform(
+    array(named_struct(
+      'name', lower(regexp_extract(p[i - 1], '^</?([A-Za-z0-9]+)', 1)),
+      'closing', startswith(p[i - 1], '</'), 'bare', p[i - 1] RLIKE '^<[^>]*/>', 'mark', p[i - 1] RLIKE {mark})),
+    t -> transform(
+      array(CASE
+        WHEN t.mark OR t.bare AND NOT t.closing OR t.name = '' THEN a.open
+        WHEN NOT t.closing THEN concat(a.open, array(named_struct('name', t.name, 'at', i)))
+        WHEN NOT exists(a.open, e -> e.name = t.name) THEN a.open
+        ELSE slice(a.open, 1, size(a.open) - array_position(reverse(transform(a.open, e -> e.name)), t.name)) END),
+      now -> named_struct(
+        'open', now,
+        'hit', CASE
+          WHEN a.hit > 0 THEN a.hit
+          WHEN t.mark THEN coalesce(array_max(filter(a.open, e -> e.name = {wanted}).at), 0)
+          WHEN {own} AND NOT t.closing AND t.name = {wanted} THEN i
+          ELSE 0 END,
+        'upto', if(a.hit > 0 AND NOT exists(now, e -> e.at = a.hit), i, 0)))[0])[0]),
+  a -> if(a.hit = 0, '', array_join(slice(p, a.hit, if(a.upto > 0, a.upto, size(p) + 1) - a.hit), '')))"""
+
+
+def _enclosed(markup: Column, wanted: str, names: str, mark: str = "") -> Column:
+    """Source of the first ``wanted`` element, from its tag to the tag that ends it, counting
+    the tags of ``names``; ``""`` if there is none. With ``mark``, of the innermost ``wanted``
+    element around the first place at which the mark matches inside of one. Tags written
+    inside an attribute's value count as tags."""
+    cut = rf"(?i)(?=</?(?:{names})(?=[\s/>]))" + (f"|(?={mark})" if mark else "")
+    walk = _WALK.format(
+        mark=sql_text(f"^(?:{mark})" if mark else "^(?!)"), wanted=sql_text(wanted), own="false" if mark else "true"
+    )
+    # in front of the first tag stands a piece without a name
+    pieces = F.split(F.concat(F.lit(" "), markup), cut, -1)
+    return F.get(F.call_function("transform", F.array(pieces), F.expr(f"p -> {walk}")), F.lit(0))
+
+
 def root_markup(visible: Column, root_elements: Iterable[str]) -> Column:
-    """First root element that exists, in order of preference; else the whole page."""
+    """First root element that exists, in order of preference; else the whole page.
+
+    It ends where it is closed, a root element that it stands in is closed, or with the page.
+    """
     names = list(root_elements)
-    found = [
-        F.regexp_extract(
-            visible, rf"(?i)<{name}(?=[\s/>]){_ATTRIBUTES}>{_up_to('|'.join(names[i:]))}", 0
-        )
-        for i, name in enumerate(names)
-    ]
-    return F.coalesce(*[or_null(f) for f in found], visible)
+
+    def element(i: int, name: str) -> Column:
+        rest = "|".join(names[i:])
+        first = F.regexp_extract(visible, rf"(?i)<{name}(?=[\s/>]){_ATTRIBUTES}>{_up_to(rest)}", 0)
+        # up to the first closing tag: all of it, unless it holds another opening one
+        whole = _enclosed(visible, name, rest)
+        return let(first, lambda f: F.when(f.rlike(rf"(?i).{_tag_of(name)}"), whole).otherwise(f))
+
+    return F.coalesce(*[or_null(element(i, name)) for i, name in enumerate(names)], visible)
 
 
 def _entity_names() -> str:
@@ -140,9 +201,13 @@ def markup_text(markup: Column) -> Column:
 
     Of a CDATA section its content stays.
     """
-    bare = clean_text(F.regexp_replace(markup, _MARKUP, " $1 "))
+
+    def bare(m: Column) -> Column:
+        kept = F.regexp_replace(m, _MARKUP, " $1 ")
+        return clean_text(F.when(m.contains("<![CDATA["), kept).otherwise(F.regexp_replace(m, _TAG, " ")))
+
     return let(
-        bare,
+        let(markup, bare),
         lambda t: F.when(t.contains("&"), clean_text(decode_entities(t))).otherwise(t),
     )
 
@@ -222,14 +287,16 @@ def labelled_item(visible: Column, class_part: str, label: str) -> Column:
     Null or ``""`` when there is no such item; a hit is never empty, as it holds the label.
     """
     space_or_tag = rf"(?:[{SPACE_CHARS}]++|&nbsp;|<(?!/(?i:span))[^>]*+>)*+"
-    return F.when(
-        visible.contains(class_part),
-        F.regexp_extract(
-            visible,
-            r"(?s)<(?i:li)(?=[\s>])[^>]*>"
-            r"((?:(?!</?(?i:li)[\s>]).)*?"
-            rf"<(?i:span)(?=\s){_with_attribute('class', f'@*{class_part}@*')}{_ATTRIBUTES}>"
-            rf"{space_or_tag}(?iu:{label}){space_or_tag}</(?i:span)\s*>.*?)(?:</(?i:li)\s*>|\z)",
-            1,
-        ),
+    span = (
+        rf"<(?i:span)(?=\s){_with_attribute('class', f'@*{class_part}@*')}{_ATTRIBUTES}>"
+        rf"{space_or_tag}(?iu:{label}){space_or_tag}</(?i:span)\s*>"
+    )
+    flat = F.regexp_extract(
+        visible,
+        r"(?s)<(?i:li)(?=[\s>])[^>]*>"
+        rf"((?:(?!</?(?i:li)[\s>]).)*?{span}.*?)(?:</(?i:li)\s*>|\z)",
+        1,
     )
+    # items in items, or left open: lists count as well, as their end closes what they hold
+    item = F.regexp_replace(_enclosed(visible, "li", "li|ul|ol", span), rf"^<[^>=]*+(?:{_ATTRIBUTES})>", "")
+    return F.when(visible.contains(class_part), F.when(visible.rlike(_entangled("li", "li|ul|ol")), item).otherwise(flat))

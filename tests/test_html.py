@@ -1,4 +1,5 @@
 import html.parser
+import random
 
 from pyspark.sql import functions as F
 
@@ -127,6 +128,111 @@ def test_labelled_item(apply):
     assert got == list(cases.values())
 
 
+VOID = {"br", "img", "meta", "link", "hr", "input"}
+
+
+class Tree(html.parser.HTMLParser):
+    """Elements as [name, attributes, children]; a closing tag ends the last open element of its
+    name with all that is open in it, and is ignored if there is none."""
+
+    def __init__(self, source):
+        super().__init__(convert_charrefs=True)
+        self.root = ["", {}, []]
+        self.open = [self.root]
+        self.feed(source)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        element = [tag, dict(attrs), []]
+        self.open[-1][2].append(element)
+        if tag not in VOID:
+            self.open.append(element)
+
+    def handle_startendtag(self, tag, attrs):
+        self.open[-1][2].append([tag, dict(attrs), []])
+
+    def handle_endtag(self, tag):
+        at = max((i for i, e in enumerate(self.open) if e[0] == tag), default=0)
+        if at:
+            del self.open[at:]
+
+    def handle_data(self, data):
+        self.open[-1][2].append(data)
+
+
+def walk(element, above=()):
+    yield element, above
+    for child in element[2]:
+        if not isinstance(child, str):
+            yield from walk(child, (*above, element))
+
+
+def text_of(element):
+    def parts(e):
+        for child in e[2]:
+            yield from [child] if isinstance(child, str) else parts(child)
+
+    return " ".join(" ".join(parts(element)).split())
+
+
+def plain_root(source):
+    tree = Tree(source).root
+    for name in ("main", "body"):
+        for e, _ in walk(tree):
+            if e[0] == name:
+                return text_of(e)
+    return text_of(tree)
+
+
+def plain_item(source):
+    for e, above in walk(Tree(source).root):
+        if e[0] == "span" and "document-info_label" in e[1].get("class", "") and text_of(e).lower() == "posted:":
+            for outer in reversed(above):
+                if outer[0] == "li":
+                    return text_of(outer)
+    return ""
+
+
+def agree(apply, sources):
+    roots = apply(sources, lambda c: H.markup_text(H.root_markup(seen(c), P.root_elements)))
+    items = apply(sources, lambda c: H.markup_text(H.labelled_item(seen(c), P.posted_class, "Posted:")))
+    for source, root, item in zip(sources, roots, items, strict=True):
+        assert root == plain_root(source), source
+        assert item == plain_item(source), source
+
+
+SPAN = '<span class="document-info_label">Posted:</span>'
+
+
+def test_nested_elements(apply):
+    agree(apply, [
+        "<body>a<main>b<main id=x>c</main>d</main>e<main>f</main></body>",
+        "<body>a<main>b<MAIN>c</main >d<p>e</main>f</body>",
+        "<body>a<main>b<main>c</main>d</body>e",
+        "<body>a<body>b</body>c</body>d",
+        "<body><div>a<main><div>b<div>c</div></div>d</main></div>e</body>",
+        f"<ul><li>a<ul><li>b</li><li>{SPAN} c<ul><li>d</li></ul> e</li></ul>f</li></ul>",
+        f"<ul><li>a<ul><li>b</li></ul>{SPAN} c<ul><li>d</li><li>e</li></ul> f</li><li>g</li></ul>",
+        f"<ul><li>a<li>{SPAN} b<li>c</ul>d",
+        f"<ul><li>a<ul><li>{SPAN} b</ul>c</li><li>d</li></ul>",
+        f"<p>{SPAN} a</p><ul><li>b<ol><li>{SPAN} c</li></ol></li></ul>",
+        f"<ul><li>a</li></ul>{SPAN} b<ul><li>c<ul><li>d</li></ul></li></ul>",
+        f"<li><li>a</li>{SPAN} b<br>c<p>d</li>e",
+        f"<ul><li title='a>b'>a<ul><li>b</li></ul>{SPAN} c</li></ul>",
+    ])
+
+
+def test_random_nesting(apply):
+    rng = random.Random(11)
+    items = ["<li>", "</li>", "<li class=x>", "</LI>", "<ul>", "</ul>", "<ol>", "</ol>", SPAN, "<p>p</p>", "<br>", "t ", "<b>u</b>"]
+    roots = ["<main>", "</main>", "<Main id='a>b'>", "<p>p</p>", "x ", "<div>y</div>", "<br/>", "z"]
+    sources = []
+    for _ in range(400):
+        sources.append("<body>" + "".join(rng.choice(items) for _ in range(rng.randrange(2, 16))) + "</body>")
+        sources.append("<body>a" + "".join(rng.choice(roots) for _ in range(rng.randrange(2, 14))) + "</body>")
+    agree(apply, sources)
+
+
 class Walker(html.parser.HTMLParser):
     """Visible text of the body, by the standard library's event parser."""
 
