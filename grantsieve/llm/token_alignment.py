@@ -29,6 +29,11 @@ _ID_BITS = 16
 _BETWEEN = b"\xff\xff"
 
 
+def _found(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which values are among the others; both ascend."""
+    return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
+
+
 class Aligner:
     """Vocabulary A: byte-level of the tokenizers library, of a space and the text. B: a
     sentencepiece model, of the text, to which it adds the space. Special strings are text."""
@@ -61,7 +66,8 @@ class Aligner:
                 continue
             _, a, b = next(both)
             a, want = np.frombuffer(a, self.a.dtype), (" " + t).encode()
-            same = b"".join(map(self.b_bytes.__getitem__, b)) == want == b"".join(map(self.a_bytes.__getitem__, a.tolist()))
+            # entries of a byte-level vocabulary stand for the text's own bytes: none may be missing
+            same = int(self.a_size[a].sum()) == len(want) and b"".join(map(self.b_bytes.__getitem__, b)) == want
             out.append((a, np.array(b, "<u2")) if same else None)
         return out
 
@@ -73,7 +79,9 @@ class Aligner:
         shared = np.flatnonzero(b_ends[np.minimum(at, len(b_ends) - 1)] == a_ends)
         nth_b = at[shared]
         anchor = self.a_space[a[np.minimum(shared + 1, len(a) - 1)]] & self.b_space[b[np.minimum(nth_b + 1, len(b) - 1)]]
-        anchor |= np.isin(shared + 1, starts)
+        bound = np.zeros(len(a) + 1, bool)
+        bound[starts] = True
+        anchor |= bound[shared + 1]
         a_cut, b_cut = shared[anchor] + 1, nth_b[anchor] + 1
         a_data, b_data = a.astype("<u2").tobytes(), b.tobytes()
         a_stop, b_stop = (2 * a_cut).tolist(), (2 * b_cut).tolist()
@@ -95,10 +103,10 @@ class Aligner:
         place = np.arange(len(ids)) - middle[window]
         a, b, a_window = ids[place < 0], ids[place > 0], window[place < 0]
         a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
-        ends = np.union1d(a_ends, b_ends)
+        a_shared, b_shared = _found(a_ends, b_ends), _found(b_ends, a_ends)
+        ends = np.sort(np.concatenate([a_ends, b_ends[~b_shared]]), kind="stable")
         a_at = np.searchsorted(a_ends, ends)
         pairs = a[a_at].astype(np.uint32) << np.uint32(_ID_BITS) | b[np.searchsorted(b_ends, ends)]
-        a_shared, b_shared = np.isin(a_ends, b_ends, assume_unique=True), np.isin(b_ends, a_ends, assume_unique=True)
         n_groups = np.bincount(a_window[a_shared], minlength=len(keys))
         n_links = np.bincount(a_window[a_at], minlength=len(keys))
         # tokens in the order of the text: by group, A's before B's; each with the sign behind it
