@@ -30,6 +30,12 @@ def byte_of_sign() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def plain_words(text: str) -> list[str] | None:
+    """The words between spaces; None where a space stands next to other white space behind it
+    or ends the text."""
+    return None if _LOOSE(text) else text.split(" ")
+
+
 class ByteLevelEncoder:
     """Ids as little-endian bytes of ``dtype``.
 
@@ -98,6 +104,7 @@ class ByteLevelEncoder:
             young[w] = young[word] + young[end]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
         if len(self.young) > _MEMO_WORDS:
             self.old, self.young = self.young, {}
         whole = [any(s in t for s in self.special) for t in texts]

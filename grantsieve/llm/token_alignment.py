@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .byte_level import byte_level_encoder, text_slices
+from .byte_level import byte_level_encoder, plain_words, text_slices
 from .tables import written
 
 _BLOCK_BYTES = 16_000_000
 _ID_BITS = 16
+_MEMO_WORDS = 150_000
 #: No id of either vocabulary: parts the two sides of a window's key.
 _BETWEEN = b"\xff\xff"
 
@@ -34,6 +35,39 @@ def _found(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
 
 
+class PieceEncoder:
+    """Ids of a sentencepiece model, as 16-bit bytes, from a memo of words.
+
+    No piece holds a space behind another sign, so nothing is merged across the start of a word
+    and a text's ids are its words' ids. A model with such pieces, and texts that start with a
+    space, hold spaces next to other white space or the model's own sign for it, are encoded
+    whole. Texts are not empty.
+    """
+
+    def __init__(self, model):
+        self.model = model
+        pieces = map(model.id_to_piece, range(model.get_piece_size()))
+        self.by_word = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [np.array(ids, "<u2").tobytes() for ids in self.model.encode(texts, num_threads=1)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.young) > _MEMO_WORDS:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        words = [plain_words(t) if self.by_word and t[0] != " " and "▁" not in t else None for t in texts]
+        new = set().union(*filter(None, words)).difference(young)
+        known = new.intersection(old)
+        young.update(zip(known, map(old.__getitem__, known)))
+        new = list(new.difference(known))
+        young.update(zip(new, self._ids(new)))
+        whole = iter(self._ids([t for t, w in zip(texts, words) if w is None]))
+        return [next(whole) if w is None else b"".join(map(young.__getitem__, w)) for w in words]
+
+
 class Aligner:
     """Vocabulary A: byte-level of the tokenizers library, of a space and the text. B: a
     sentencepiece model, of the text, to which it adds the space. Special strings are text."""
@@ -43,6 +77,7 @@ class Aligner:
 
         self.a = byte_level_encoder(a_path, True)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.pieces = PieceEncoder(self.b)
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.a_bytes = self.a.token_bytes
         if max(len(self.a_bytes), len(self.b_bytes)) >= 1 << _ID_BITS:
@@ -58,17 +93,17 @@ class Aligner:
     def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both; None for an empty text or one that the ids do not give back."""
         full = [t for t in texts if t]
-        both = iter(zip(full, self.a.encode([" " + t for t in full]), self.b.encode(full, num_threads=1)))
+        both = iter(zip(full, self.a.encode([" " + t for t in full]), self.pieces.encode(full)))
         out = []
         for t in texts:
             if not t:
                 out.append(None)
                 continue
             _, a, b = next(both)
-            a, want = np.frombuffer(a, self.a.dtype), (" " + t).encode()
+            a, b, want = np.frombuffer(a, self.a.dtype), np.frombuffer(b, "<u2"), (" " + t).encode()
             # entries of a byte-level vocabulary stand for the text's own bytes: none may be missing
-            same = int(self.a_size[a].sum()) == len(want) and b"".join(map(self.b_bytes.__getitem__, b)) == want
-            out.append((a, np.array(b, "<u2")) if same else None)
+            same = int(self.a_size[a].sum()) == len(want) and b"".join(map(self.b_bytes.__getitem__, b.tolist())) == want
+            out.append((a, b) if same else None)
         return out
 
     def windows(self, a: np.ndarray, b: np.ndarray, starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:

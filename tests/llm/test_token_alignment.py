@@ -1,8 +1,10 @@
 """Alignment of two vocabularies against plain loops over whole texts."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from grantsieve.llm import token_alignment
@@ -110,6 +112,17 @@ def test_odd_texts_and_small_blocks(spark, tools, monkeypatch):
     assert {i: hashlib.sha256(g.encode()).hexdigest() if g else "" for i, g in groups.items()} == {r[0]: r[5] for r in want}
 
 
+def test_ids_of_words_are_those_of_whole_texts(spark, small, tools):
+    rng = random.Random(4)
+    signs = ["a", "Bc", "é", "9", ".", "'", " ", " ", " ", "\n", "\t", "日", "🙂", "▁", "ﬁ", "²", "\xa0", "\u3000", "\u0301", "<s>"]
+    texts = [t for t in ODD if t] + ["".join(rng.choice(signs) for _ in range(rng.randrange(1, 30))) for _ in range(4000)]
+    texts += [r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect() if r["text"]]
+    encoder = token_alignment.PieceEncoder(tools[1])
+    assert encoder.by_word
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == tools[1].encode(texts)
+
+
 def test_many_blocks_give_the_same(tools):
     """A block per document numbers windows anew; its pages hold all that the counts need."""
     import pyarrow as pa
