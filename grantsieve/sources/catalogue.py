@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,21 +14,28 @@ from ..functions.scalars import normalize_url
 from ..functions.text import or_null, strip_space
 
 
-def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """Catalogue CSV with all-string columns, ``source_file`` and row order ``ord``.
+def _files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """Files of the same header line, the first line that is not blank; one narrow job.
 
-    Quoted fields may span lines, so each file is one split and ``ord`` follows the row
-    order inside a file. Order a catalogue of several files by ``source_file, ord``. Reading
-    files with different headers at once fails.
+    What reaches the driver is a path per file, as Spark's own listing of files holds there.
     """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("at")
+    )
+    headers = lines.filter(F.trim("value") != "").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = headers.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [r["files"] for r in groups.orderBy(F.col("files")[0]).collect()]
+
+
+def _read_one_header(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     df = (
         spark.read.option("header", True)
         .option("multiLine", True)
         .option("escape", '"')
         .option("encoding", "UTF-8")
-        # columns go by place: a file whose header differs from the first one's is refused
+        # columns go by place: should a file's header differ from the first one's, it is refused
         .option("enforceSchema", False)
-        .csv(path)
+        .csv(paths)
     )
     if not df.columns:
         raise ValueError("the catalogue has no header row")
@@ -42,6 +50,24 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """Catalogue CSV with all-string columns, ``source_file`` and row order ``ord``.
+
+    Quoted fields may span lines, so each file is one split and ``ord`` follows the row
+    order inside a file. Order a catalogue of several files by ``source_file, ord``. Files
+    with different headers are read by one scan for each of them and united by column name;
+    a column that a file lacks is null there. Only the URL column must be in all of them.
+    """
+    groups = _files_by_header(spark, path)
+    if len(groups) < 2:
+        return _read_one_header(spark, path)
+    parts = [_read_one_header(spark, [unquote(f) for f in files]) for files in groups]  # the names are URIs
+    catalogue = parts[0]
+    for p in parts[1:]:
+        catalogue = catalogue.unionByName(p, allowMissingColumns=True)
+    return catalogue
+
+
 def job_rows(catalogue: DataFrame) -> DataFrame:
     """Job columns of a catalogue: normalised URL, stripped optional texts, blank -> null."""
     optional = [

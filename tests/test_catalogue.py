@@ -131,11 +131,27 @@ def test_first_n_is_exact_with_null_and_tied_orders(spark):
         assert [r.t for r in first_n(df, n).collect()] == ["a", "b", "c", "d", "e"][:n]
 
 
-def test_files_with_different_headers_are_refused(spark, tmp_path):
-    (tmp_path / "a.csv").write_text("Title,Solicitation URL\nT1,a.org/1\n")
-    (tmp_path / "b.csv").write_text("Solicitation URL,Title\nb.org/2,T2\n")
-    with pytest.raises(Exception):
-        catalogue_jobs(spark, str(tmp_path)).collect()
+def test_files_with_different_headers_are_united_by_name(spark, tmp_path):
+    """Swapped columns, a file without an optional column, one with a further column, a quoted
+    field over two lines, names with a space and other signs."""
+    from grantsieve.sources.catalogue import read_catalogue
+
+    (tmp_path / "a b.csv").write_text('Title,Solicitation URL\n"T\n1",a.org/1\nT2,a.org/2\n')
+    (tmp_path / "b+1%.csv").write_text("\nSolicitation URL,Title\nb.org/1,T3\na.org/1,late\n")
+    (tmp_path / "c.csv").write_text("Solicitation URL,Extra\nc.org/1,x\n")
+    (tmp_path / "d.csv").write_text("Title,Solicitation URL\nT4,d.org/1\n")
+    rows = read_catalogue(spark, str(tmp_path)).orderBy("source_file", "ord").collect()
+    assert [(r["Solicitation URL"], r["Title"], r["Extra"]) for r in rows] == [
+        ("a.org/1", "T\n1", None), ("a.org/2", "T2", None), ("b.org/1", "T3", None), ("a.org/1", "late", None),
+        ("c.org/1", None, "x"), ("d.org/1", "T4", None),
+    ]
+    jobs = {j.url: j.title for j in catalogue_jobs(spark, str(tmp_path)).collect()}
+    assert jobs == {
+        "https://a.org/1": "T\n1", "https://a.org/2": "T2", "https://b.org/1": "T3", "https://c.org/1": None, "https://d.org/1": "T4",
+    }
+    (tmp_path / "e.csv").write_text("Title,Link\nT5,e.org\n")
+    with pytest.raises(ValueError, match="Solicitation URL"):
+        read_catalogue(spark, str(tmp_path))
 
 
 def test_snapshot_keeps_the_order_of_several_files(spark, tmp_path):
