@@ -27,10 +27,6 @@ WORD_END = f"(?!{WORD})"
 ANY_CASE = "(?isu)"
 
 
-def _quoted(replacement: str) -> str:
-    return replacement.replace("\\", r"\\")
-
-
 def portable(pattern: str) -> str:
     """Expand ``\\b``, ``\\B``, ``\\w``, ``\\s``, ``\\d`` and their negations into explicit classes.
 
@@ -40,7 +36,12 @@ def portable(pattern: str) -> str:
     """
 
     # At most positions the letter differs, so it is compared before looking back.
-    expanded = re.sub(r"\\b([A-Za-z0-9])(?![?*+{])", rf"\1(?<!{_quoted(WORD)}.)", pattern)
+    # Escapes are taken one after another, so an escaped backslash before b is no boundary. A
+    # group's name, of which the two languages allow different ones, says nothing here.
+    def start(m: re.Match) -> str:
+        return f"{m[1]}(?<!{WORD}.)" if m[1] else "(" if m[0].startswith("(") else m[0]
+
+    expanded = re.sub(r"(?s)\\(?:b([A-Za-z0-9])(?![?*+{])|.)|\(\?P<\w+>", start, pattern)
 
     def piece(m: re.Match) -> str:
         if m[0] == r"\b":

@@ -80,3 +80,12 @@ def test_patterns_keep_their_meaning(spark):
         assert got == bool(re.search(p, text, re.I)), p
         if re.search(p, text, re.I):
             assert required_literal(p) in text, p
+
+
+def test_escaped_backslashes_and_named_groups(apply):
+    from grantsieve.functions.patterns import ANY_CASE, portable
+
+    cases = {r"a\\bc": r"a\bc", r"\bx\\b": "x\\b", r"(?P<part_1>ab)+c": "ababc", r"\\\bend": r"\end", r"\(?P<x>": "(P<x>"}
+    for pattern, text in cases.items():
+        got = apply([text, "none of it"], lambda c, p=pattern: c.rlike(ANY_CASE + portable(p)))
+        assert got == [True, False], pattern
