@@ -283,8 +283,13 @@ def solicitations_sql() -> str:
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalogue rows with ``ord``; every page is listed twice, with different titles."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return _select(pages.selectExpr("*", "explode(array(0, 1)) AS copy"), CATALOGUE_LAYER)
+    return catalogue_of(table(spark, sf_dir, "pages"))
+
+
+def catalogue_of(pages: DataFrame) -> DataFrame:
+    """The same from a table or a stream of pages."""
+    urls = pages.select("page_id", "url")
+    return _select(urls.selectExpr("*", "explode(array(0, 1)) AS copy"), CATALOGUE_LAYER)
 
 
 def catalogue_sql() -> str:

@@ -57,6 +57,19 @@ def _records(source: str, keys: str, columns: str, extra: str = "") -> str:
     )
 
 
+# documents that hold the first two words of some document between word bounds: other signs
+# than letters, digits and spaces are made one sign, so bounds are plain texts
+OPENINGS = r"""
+WITH d AS (SELECT doc_id, '|' || regexp_replace(lower(text), '[^\p{L}\p{N} ]', '|', 'g') || '|' AS t, coalesce(lang, '') AS lang,
+  lower(regexp_extract(text, '^([A-Za-z0-9]+ [A-Za-z0-9]+)(?:[ .,\n]|$)', 1)) AS p FROM documents),
+r AS (SELECT p, min(lang) AS category FROM d WHERE p <> '' GROUP BY p),
+found AS (SELECT d.doc_id, r.p, r.category, d.t FROM d JOIN r ON contains(d.t, r.p))
+SELECT doc_id, category, string_agg(p, '; ' ORDER BY p) AS labels FROM found
+WHERE contains(t, ' ' || p || ' ') OR contains(t, ' ' || p || '|') OR contains(t, '|' || p || ' ') OR contains(t, '|' || p || '|')
+GROUP BY doc_id, category
+"""
+
+
 def oracles() -> dict[str, str]:
     sol = solicitations_sql()
     cat = catalogue_sql()
@@ -143,6 +156,7 @@ def oracles() -> dict[str, str]:
         "coalesce(array_to_string([a.raw FOR a IN r], '|'), '') AS ascending FROM m",
         "p6_length_gate": f"SELECT doc_id, CASE WHEN length({q.clean('text')}) > 30 THEN {q.clean('text')} END AS kept FROM documents",
         "d1_keep_first": jobs,
+        "d1_keep_first_stream": jobs,
         "d2_first_n": first_jobs,
         "p7_empty_batch": "SELECT 'all' AS batch, count(*) AS records, count(*) > 0 AS exported FROM pages "
         "UNION ALL SELECT 'none', 0, false",
@@ -153,6 +167,7 @@ def oracles() -> dict[str, str]:
         "SELECT k, rank, a.raw AS raw, cast(a.pos - 1 AS bigint) AS pos FROM u",
         "j1_resolve_jobs": log,
         "j1_resolve_pages": resolved,
+        "j1_resolve_landed": resolved,
         "a1_outcome_summary": f"SELECT count(*) AS total, count(*) FILTER (ok) AS ok, count(*) FILTER (NOT ok) AS failed FROM ({log})",
         "a2_payload_records": "SELECT doc_id, cast(greatest(len(string_split_regex("
         + q.strip("text")
@@ -197,6 +212,7 @@ def oracles() -> dict[str, str]:
         "t1_topic_tags_own_rules": tags_of(
             "SELECT doc_id, text FROM documents", "doc_id", WORD_RULES
         ),
+        "t1_rule_table": OPENINGS,
         "t1_page_topics": _texts(pages, "page_id") + " " + tags_of("SELECT page_id, text FROM t", "page_id"),
         "t2_tag_text": _fields(sol, "k, file_stem")
         + f" SELECT k, concat_ws(' ', {TAG_FIELDS}) AS tag_text FROM f",

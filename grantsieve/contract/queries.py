@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +21,17 @@ from ..operators.records import (
     with_calendar_dates, with_topic_tags,
 )
 from ..operators.resolve import (
-    fetch_log, first_failures, outcome_summary, page_index, resolve_attempts, resolve_pages,
-    with_page_key,
+    fetch_log, first_failures, outcome_summary, page_index, resolve_attempts, resolve_landed,
+    resolve_pages, with_page_key,
 )
+from ..operators.rule_table import labels_by_category, phrase_index, rule_hits
 from ..plans import pipelines as L
 from ..session import shared_folder
+from ..sinks import buckets as B
 from ..sinks import writers as K
 from ..sources.catalogue import job_rows, newest_snapshot, payload_records, read_catalogue
 from ..sources.pages import read_html_folder
+from ..streaming.jobs import write_first_jobs
 from . import fixtures as fx
 from .fixtures import table
 from .rules import WORD_RULES
@@ -234,6 +238,16 @@ def d1_keep_first(spark, sf_dir):
     return keep_first(drop_blank_urls(job_rows(fx.catalogue(spark, sf_dir))), "url")
 
 
+@query
+def d1_keep_first_stream(spark, sf_dir):
+    """The catalogue as a stream, each URL once."""
+    schema = table(spark, sf_dir, "pages").schema
+    pages = spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(sf_dir)
+    path = shared_folder(spark, "jobs")
+    write_first_jobs(drop_blank_urls(job_rows(fx.catalogue_of(pages))), path).awaitTermination()
+    return spark.read.parquet(path)
+
+
 @query
 def d2_first_n(spark, sf_dir):
     return first_n(jobs(spark, sf_dir), 100)
@@ -273,6 +287,15 @@ def j1_resolve_pages(spark, sf_dir):
     return resolve_pages(jobs(spark, sf_dir), table(spark, sf_dir, "pages"))
 
 
+@query
+def j1_resolve_landed(spark, sf_dir):
+    """Pages landed in buckets by URL, then met by all jobs without moving page source."""
+    landed = B.land_bucketed(
+        table(spark, sf_dir, "pages"), f"landed_{uuid4().hex}", shared_folder(spark, "buckets"), 16
+    )
+    return resolve_landed(jobs(spark, sf_dir), landed)
+
+
 @query
 def a1_outcome_summary(spark, sf_dir):
     return outcome_summary(log(spark, sf_dir))
@@ -436,6 +459,17 @@ def t1_topic_tags_own_rules(spark, sf_dir):
     return d.select("doc_id", *joined_tags(F.col("tags"), WORD_RULES))
 
 
+@query
+def t1_rule_table(spark, sf_dir):
+    """Which documents hold the first two words of which others: a rule for every document."""
+    d = documents(spark, sf_dir, "text", "lang")
+    phrase = F.lower(F.regexp_extract("text", r"^[A-Za-z0-9]+ [A-Za-z0-9]+(?=[ .,\n]|$)", 0))
+    openings = d.filter(phrase != "").groupBy(phrase.alias("phrase")).agg(F.min(F.coalesce("lang", F.lit(""))).alias("category"))
+    rules = openings.select("category", F.col("phrase").alias("label"), F.lit(0).alias("place"), "phrase")
+    hits = labels_by_category(rule_hits(d, phrase_index(rules), ("doc_id",)), ("doc_id",))
+    return hits.select("doc_id", "category", X.join_list(F.col("labels")).alias("labels"))
+
+
 @query
 def t1_page_topics(spark, sf_dir):
     t = page_texts(fx.keyed_pages(spark, sf_dir), P, ("page_id",))
