@@ -89,6 +89,29 @@ def resolve_pages(
     return found.groupBy("file_stem", "url").agg(F.min("html").alias("html"))
 
 
+def first_pages(
+    pages: DataFrame, order: Sequence[str] = ("page_id",), all_readable: bool = False
+) -> DataFrame:
+    """First readable page of every URL as ``url, html``; ties as in ``resolve_pages``."""
+    readable = pages if all_readable else pages.filter(F.col("html").isNotNull())
+    first = page_index(pages.filter(F.col("url").isNotNull()), order, all_readable).select(
+        F.col("url").alias("_url"), *[F.col(c).alias(f"_{c}") for c in order]
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order]
+    found = readable.join(first, [F.col("url") == F.col("_url"), *same])
+    return found.groupBy("url").agg(F.min("html").alias("html"))
+
+
+def resolve_landed(jobs: DataFrame, landed: DataFrame) -> DataFrame:
+    """The page of every resolved job as ``file_stem, url, html``, from a table of ``land_bucketed``.
+
+    The table holds a URL once, so a match is the page and nothing is aggregated. Jobs go to the
+    buckets and are hashed there: page source is read in place, neither moved nor sorted.
+    """
+    keyed = with_page_key(jobs).select("file_stem", "url")
+    return landed.join(keyed.hint("shuffle_hash"), "url").select("file_stem", "url", "html")
+
+
 def attempt_outcomes(attempts: DataFrame, retries: int = fv.DEFAULT_RETRIES) -> DataFrame:
     """Outcome per URL of logged attempts: ``url, ok, attempt, http_status, error``.
 

@@ -6,12 +6,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from uuid import uuid4
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import DEFAULT_RETRIES, Profile
 from ..functions.scalars import normalize_url
-from ..operators.dedup import first_n, keep_first
+from ..operators.dedup import first_n, keep_first, page_order
 from ..operators.filters import drop_blank_urls
 from ..operators.records import parse_pages
 from ..operators.resolve import (
@@ -48,7 +49,8 @@ def write_records(
     """Write the record table once, then JSON lines and flattened CSV from it.
 
     Parsing is the expensive step and sorting samples its input, so both exports and
-    the count read the written table and a lost executor never costs a second parse.
+    the count read the written table and a lost executor never costs a second parse. Both
+    exports take the same sorted parts: records are moved into page order once per batch.
     An empty batch writes no exports.
     """
     spark = records.sparkSession
@@ -59,8 +61,12 @@ def write_records(
     if not count:
         return Written(0, table, None, None)
     json, csv = f"{out_dir.rstrip('/')}/records_json", f"{out_dir.rstrip('/')}/records_csv"
-    write_json(stored, json)
-    write_flat_csv(stored, csv, profile)
+    in_order = stored.orderBy(page_order()).persist(StorageLevel.DISK_ONLY)
+    try:
+        write_json(in_order, json, ordered=True)
+        write_flat_csv(in_order, csv, profile, ordered=True)
+    finally:
+        in_order.unpersist()
     if per_record:
         write_json_per_record(stored, f"{out_dir.rstrip('/')}/json")
     return Written(count, table, json, csv)

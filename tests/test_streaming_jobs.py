@@ -1,0 +1,28 @@
+"""Distinct jobs over batches and restarts of a stream."""
+
+from grantsieve.streaming.jobs import write_first_jobs
+
+JOBS = "ord bigint, url string, title string, nested struct<a:double>"
+BATCHES = [
+    [(5, "a", "late", (1.5,)), (3, "a", "first", None), (2**60 + 1, "b", None, None), (2**60, "b", "b", (None,)), (None, "c", "null first", None), (0, "c", "zero", None)],
+    [(1, "a", "seen before", None), (7, "d", 'quo"te\n', None), (7, "d", 'quo"te\n', None), (4, None, "no url", None)],
+    [(0, "d", "seen", None), (0, "b", "seen", None), (9, "e", "new", (2.0,)), (3, None, "seen", None)],
+]
+
+
+def test_each_url_once_over_batches_and_a_restart(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    jobs = spark.readStream.schema(JOBS).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    out = str(tmp_path / "out")
+    for n, rows in enumerate(BATCHES):
+        spark.createDataFrame(rows, JOBS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        if n != 1:  # the first run takes one batch, the next one, after a restart, two
+            write_first_jobs(jobs, out).awaitTermination()
+    got = {r["url"]: (r["ord"], r["title"], r["nested"] and r["nested"]["a"]) for r in spark.read.parquet(out).collect()}
+    assert spark.read.parquet(out).count() == 6
+    assert got == {
+        "a": (3, "first", None), "b": (2**60, "b", None), "c": (None, "null first", None), "d": (7, 'quo"te\n', None),
+        None: (4, "no url", None), "e": (9, "new", 2.0),
+    }
+    write_first_jobs(jobs, out).awaitTermination()
+    assert spark.read.parquet(out).count() == 6
