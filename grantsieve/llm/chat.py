@@ -88,7 +88,7 @@ class Reader:
                 return formatted[at:m.start()], m.start()
         raise ValueError(f"no {mark!r} after {at}")
 
-    def turns(self, formatted: str) -> Iterator[tuple[str, str, bool]]:
+    def turns(self, formatted: str) -> Iterator[tuple[str, str]]:
         at, strip = 0, self.unescape.sub
         while at < len(formatted):
             if formatted.startswith(self.t.other.before, at):
@@ -104,7 +104,7 @@ class Reader:
             lead = marks.after[: marks.after.index(mark)]
             text = strip(r"\1", raw[: len(raw) - len(lead)])
             at = end - len(lead) + len(marks.after)
-            yield role, text, marks.loss
+            yield role, text
 
 
 def _ordered(turns: DataFrame) -> DataFrame:
@@ -164,7 +164,9 @@ def digest(formatted: DataFrame, template: Template = Template()) -> DataFrame:
     """Per conversation: what reading its formatted text back gives.
 
     Runs on the rows of format_turns as they come, without another shuffle: hashes take
-    turn after turn, so no conversation is gathered.
+    turn after turn, so no conversation is gathered. Rows in any other order, as after a write
+    and read of that table, are refused. Turns are parsed from the formatted text, the loss text
+    is that of the segments whose flag is set.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,14 +181,19 @@ def digest(formatted: DataFrame, template: Template = Template()) -> DataFrame:
                 if position == 0:
                     if state is not None:
                         out.append(done())
-                    state = {"id": conv, "n": 0, "all": hashlib.sha256(), "loss_n": 0, "loss": hashlib.sha256(), "chars": 0, "bad": 0}
+                    state = {"id": conv, "rows": 0, "n": 0, "all": hashlib.sha256(), "loss_n": 0, "loss": hashlib.sha256(), "chars": 0, "bad": 0}
+                if state is None or state["id"] != conv or state["rows"] != position:
+                    raise ValueError(f"turn {position} of conversation {conv} is out of order")
+                state["rows"] += 1
                 formatted = "".join(s["text"] for s in segments)
                 state["chars"] += len(formatted)
                 state["bad"] += not valid
-                for role, text, loss in reader.turns(formatted):
+                for role, text in reader.turns(formatted):
                     state["n"] += 1
                     state["all"].update(f"{role}\n{text}\n".encode())
-                    if loss:
+                for s in segments:
+                    if s["loss"]:
+                        text = reader.unescape.sub(r"\1", s["text"])
                         state["loss_n"] += len(text)
                         state["loss"].update(text.encode())
             yield _digest_batch(out)

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 from oracle_compare import compare, duck
+from pyspark.sql import functions as F
 
 from grantsieve.llm import chat, line_dedup, mixing, near_dup
 from grantsieve.llm.oracles import ORACLES
@@ -174,3 +175,26 @@ def test_chat_round_trip(spark):
     for r in formatted.collect():
         assert not any(c in r["segments"][1]["text"] for c in controls)
     assert chat.digest(chat.format_turns(df.limit(0))).count() == 0
+
+
+def test_chat_digest_reads_the_flags(spark):
+    df = spark.createDataFrame(TURNS, "conv_id bigint, turn bigint, role string, text string")
+    formatted = chat.format_turns(df)
+
+    def flipped(position, segment):
+        flag = F.when(F.col("position") == position, ~F.col("segments")[segment]["loss"]).otherwise(F.col("segments")[segment]["loss"])
+        parts = [F.struct(F.col("segments")[i]["text"].alias("text"), (flag if i == segment else F.col("segments")[i]["loss"]).alias("loss")) for i in range(3)]
+        return {r["conv_id"]: r for r in chat.digest(formatted.withColumn("segments", F.array(*parts))).collect()}
+
+    right = {r["conv_id"]: r for r in chat.digest(formatted).collect()}
+    off, more = flipped(2, 1), flipped(1, 0)
+    assert off[1]["loss_chars"] == 0 and off[1]["turns_sha256"] == right[1]["turns_sha256"]
+    assert more[1]["loss_chars"] == right[1]["loss_chars"] + len("<s>[INST] ") and more[1]["loss_sha256"] != right[1]["loss_sha256"]
+    assert off[4] == right[4] and more[3] == right[3]
+
+
+def test_chat_digest_refuses_other_orders(spark):
+    df = spark.createDataFrame(TURNS[:3], "conv_id bigint, turn bigint, role string, text string")
+    formatted = chat.format_turns(df).coalesce(1).sortWithinPartitions(F.desc("position"))
+    with pytest.raises(Exception, match="out of order"):
+        chat.digest(formatted).collect()
