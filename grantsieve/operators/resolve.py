@@ -64,6 +64,44 @@ def fetch_log(
     )
 
 
+def _places(pages: DataFrame, order: Sequence[str], *more: Column) -> DataFrame:
+    """Pages by ``_url`` and the order as ``_at_<name>``, so that no name meets one of the jobs."""
+    return pages.select(F.col("url").alias("_url"), *[F.col(c).alias(f"_at_{c}") for c in order], *more)
+
+
+def _first_places(rows: DataFrame, by: Sequence[str], at: Sequence[str]) -> DataFrame:
+    """Least order value per ``by``, and how many rows hold it, in ``_n``. Narrow rows only.
+
+    A single order value of fixed width aggregates by hash; a null one counts as the last.
+    """
+    counted = rows.groupBy(*by, *at).agg(F.count("*").alias("_n"))
+    if len(at) == 1:
+        least, n = F.min(at[0]), F.coalesce(F.min_by("_n", at[0]), F.sum("_n"))
+        return counted.groupBy(*by).agg(least.alias(at[0]), n.alias("_n"))
+    place = F.struct(*at)
+    return (
+        counted.groupBy(*by)
+        .agg(F.min(place).alias("_place"), F.min_by("_n", place).alias("_n"))
+        .select(*by, *[F.col("_place")[c].alias(c) for c in at], "_n")
+    )
+
+
+def _sources(
+    readable: DataFrame, order: Sequence[str], first: DataFrame, by: Sequence[str], at: Sequence[str]
+) -> DataFrame:
+    """``by`` and ``html`` of the pages at their first places, one row for each.
+
+    A place that one page holds is met by a join alone; only pages that share their place, of which
+    the least source is taken, are grouped and so sorted.
+    """
+    pages = _places(readable, order, F.col("html"))
+    wanted = first.withColumnsRenamed({c: f"_first{c}" for c in at})
+    same = [F.col("url") == F.col("_url"), *[F.col(c).eqNullSafe(F.col(f"_first{c}")) for c in at]]
+    alone = pages.join(wanted.filter("_n = 1"), same).select(*by, "html")
+    shared = pages.join(wanted.filter("_n > 1"), same).groupBy(*by).agg(F.min("html").alias("html"))
+    return alone.union(shared)
+
+
 def resolve_pages(
     jobs: DataFrame,
     pages: DataFrame,
@@ -80,13 +118,10 @@ def resolve_pages(
     moved; with many, each wanted page crosses the network once.
     """
     readable = pages if all_readable else pages.filter(F.col("html").isNotNull())
-    asked = pages.join(jobs.select("url").distinct(), "url", "left_semi")
-    wanted = with_page_key(jobs).join(page_index(asked, order, all_readable), "url").select(
-        "file_stem", "url", *[F.col(c).alias(f"_{c}") for c in order]
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order]
-    found = readable.join(wanted.withColumnRenamed("url", "_url"), [F.col("url") == F.col("_url"), *same])
-    return found.groupBy("file_stem", "url").agg(F.min("html").alias("html"))
+    by, at = ("file_stem", "url"), [f"_at_{c}" for c in order]
+    keyed = with_page_key(jobs).select(*by)
+    wanted = _places(readable, order).join(keyed, F.col("_url") == F.col("url"))
+    return _sources(readable, order, _first_places(wanted, by, at), by, at)
 
 
 def first_pages(
@@ -94,12 +129,9 @@ def first_pages(
 ) -> DataFrame:
     """First readable page of every URL as ``url, html``; ties as in ``resolve_pages``."""
     readable = pages if all_readable else pages.filter(F.col("html").isNotNull())
-    first = page_index(pages.filter(F.col("url").isNotNull()), order, all_readable).select(
-        F.col("url").alias("_url"), *[F.col(c).alias(f"_{c}") for c in order]
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in order]
-    found = readable.join(first, [F.col("url") == F.col("_url"), *same])
-    return found.groupBy("url").agg(F.min("html").alias("html"))
+    rows = _places(readable, order).filter("_url IS NOT NULL").withColumnRenamed("_url", "url")
+    at = [f"_at_{c}" for c in order]
+    return _sources(readable, order, _first_places(rows, ("url",), at), ("url",), at)
 
 
 def resolve_landed(jobs: DataFrame, landed: DataFrame) -> DataFrame:
@@ -147,22 +179,20 @@ def resolve_attempts(attempts: DataFrame, retries: int = fv.DEFAULT_RETRIES) ->
     """Outcome per URL with the body of its first success: ``url, ok, http_status, error, body``.
 
     Outcomes are settled on narrow rows (see ``attempt_outcomes``); only bodies of successful
-    attempts meet them. Of several bodies logged for that attempt the least is taken.
+    attempts meet them, by a join alone. Of several bodies logged for that attempt the least is
+    taken: only these are grouped and so sorted.
     """
-    fetched = attempts.filter(is_success(F.col("status"))).select(
-        F.col("url").alias("_url"), F.col("attempt").alias("_attempt"), F.col("status").alias("_status"), "body"
-    )
+    named = {"url": "_url", "attempt": "_attempt", "status": "_status"}
+    fetched = attempts.filter(is_success(F.col("status"))).select(*named, "body").withColumnsRenamed(named)
     same = [
         F.col("url") == F.col("_url"), F.col("attempt") == F.col("_attempt"), F.col("http_status") == F.col("_status")
     ]
-    # grouped by the join's own keys among others, so the join's partitions are kept
-    return (
-        attempt_outcomes(attempts, retries)
-        .join(fetched, same, "left")
-        .groupBy("url", "attempt", "http_status", "ok", "error")
-        .agg(F.min("body").alias("body"))
-        .select("url", "ok", "http_status", "error", "body")
-    )
+    several = fetched.groupBy(*named.values()).agg(F.count("*").alias("_n")).filter("_n > 1")
+    outcomes = attempt_outcomes(attempts, retries).join(several, same, "left").drop(*named.values())
+    alone = outcomes.filter("_n IS NULL").join(fetched, same, "left")
+    shared = outcomes.filter("_n > 1").join(fetched, same)
+    least = shared.groupBy("url", "ok", "http_status", "error").agg(F.min("body").alias("body"))
+    return alone.select("url", "ok", "http_status", "error", "body").union(least)
 
 
 def attempt_log(

@@ -122,7 +122,7 @@ def url_records(
     wanted = pages.sparkSession.range(1).select(normalize_url(F.lit(url))).first()[0]
     if wanted is None:
         raise ValueError("the URL is empty")
-    page = first_n(pages.filter((F.col("url") == wanted) & F.col("html").isNotNull()), 1, order)
+    page = pages.filter((F.col("url") == wanted) & F.col("html").isNotNull()).orderBy(*order, "html").limit(1)
     bare = F.lit(None).cast("string")
     keyed = with_page_key(page.withColumns({"title": bare, "program_id": bare, "nsf_pd_num": bare}))
     return parse_pages(keyed, profile)

@@ -131,6 +131,22 @@ def test_first_n_is_exact_with_null_and_tied_orders(spark):
         assert [r.t for r in first_n(df, n).collect()] == ["a", "b", "c", "d", "e"][:n]
 
 
+def test_first_n_over_many_sorted_ranges(spark):
+    """Every cut of a table kept in many files: inside a file, at its end, beyond the last."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 400, 1, 5).selectExpr(
+            "if(id % 40 = 0, null, cast(id * 37 % 400 as int)) AS ord", "cast(id as string) AS t", "array(id) AS nested"
+        )
+        rows = sorted(map(tuple, df.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        for n in (1, 9, 10, 50, 51, 199, 399, 400, 401):
+            got = first_n(df, n)
+            assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, rows[:n])), n
+        assert got.dtypes == df.dtypes and first_n(df.limit(0), 3).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_files_with_different_headers_are_united_by_name(spark, tmp_path):
     """Swapped columns, a file without an optional column, one with a further column, a quoted
     field over two lines, names with a space and other signs."""

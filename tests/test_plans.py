@@ -36,3 +36,42 @@ def test_url_filter_reaches_the_scan(spark, small):
 
     plan = plan_of(url_records(fx.table(spark, small, "pages"), "https://a.org"))
     assert "EqualTo(url,https://a.org)" in plan
+
+
+def only_ties_are_sorted(df, column):
+    """No sort or sort aggregate outside the branch of rows that share their place."""
+    plan = plan_of(df).partition("== Initial Plan ==")[0]
+    alone, sort, shared = plan.partition("SortAggregate(")
+    assert column in alone and " Sort [" not in alone and sort
+    assert shared.count("> 1)") >= 1 and f"min({column}#" in shared
+
+
+def test_page_source_is_not_sorted_but_for_ties(spark, small):
+    from grantsieve.operators.resolve import first_pages, resolve_pages
+
+    pages = fx.table(spark, small, "pages").select("page_id", "url", "html")
+    only_ties_are_sorted(resolve_pages(QUERIES["d2_first_n"](spark, small), pages), "html")
+    only_ties_are_sorted(first_pages(pages), "html")
+
+
+def test_page_index_aggregates_by_hash(spark, small):
+    from grantsieve.operators.resolve import _first_places, _places
+
+    pages = fx.table(spark, small, "pages")
+    plan = plan_of(_first_places(_places(pages, ("page_id",)), ("_url",), ["_at_page_id"]))
+    assert "HashAggregate" in plan and "Sort" not in plan and "html" not in plan
+
+
+def test_bodies_of_attempts_are_not_sorted_to_settle_ties(spark, small):
+    from grantsieve.operators.resolve import resolve_attempts
+
+    plan = plan_of(resolve_attempts(fx.attempts(spark, small)))
+    sorted_bodies = [x for x in plan.splitlines() if "SortAggregate" in x and "min(body#" in x]
+    assert len(sorted_bodies) in (1, 2)  # partial and final, of the branch of ties alone
+    assert plan.count("min(body#") == len(sorted_bodies) and "> 1)" in plan
+
+
+def test_first_n_has_no_merging_task(spark, small):
+    plan = plan_of(QUERIES["d2_first_n"](spark, small))
+    for bad in ("TakeOrderedAndProject", "SinglePartition", "Exchange", "GlobalLimit"):
+        assert bad not in plan

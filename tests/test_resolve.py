@@ -117,3 +117,33 @@ def test_one_page_per_job_whatever_the_page_ids(spark):
     got = sorted((r.url, r.html) for r in resolve_pages(jobs, pages).collect())
     assert got == [("u1", "x"), ("u2", "a")]
     assert outcome_summary(fetch_log(jobs, page_index(pages))).first()["ok"] == 2
+
+
+def test_pages_that_share_their_place_give_one_row(spark):
+    """Equal rows, ties of null and of plain order values, several order columns, jobs listed twice."""
+    jobs, _ = jobs_and_pages(spark)
+    jobs = jobs.union(jobs.filter("url = 'u2'"))
+    rows = [(5, "u1", "same"), (5, "u1", "same"), (7, "u1", "late"), (None, "u2", "n2"), (None, "u2", "n1"),
+            (1, "u3", "only"), (2, None, "none")]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string").withColumn("file_stem", F.lit("f"))
+    want = [("u1", "same"), ("u2", "n1"), ("u3", "only")]
+    for order in (("page_id",), ("file_stem", "page_id")):
+        for known in (False, True):
+            got = resolve_pages(jobs, pages, order, known)
+            assert sorted((r.url, r.html) for r in got.collect()) == want and got.columns == ["file_stem", "url", "html"]
+    assert [r.html for r in resolve_pages(jobs, pages, ("file_stem",)).orderBy("url").collect()] == ["late", "n1", "only"]
+    assert resolve_pages(jobs, pages.limit(0)).count() == 0 == resolve_pages(jobs.limit(0), pages).count()
+
+
+def test_bodies_that_tie_and_bodies_that_are_missing(spark):
+    attempts = spark.createDataFrame(
+        [("a", 0, 200, None, "x"), ("a", 0, 200, None, "x"), ("b", 0, 200, None, None), ("b", 0, 200, None, "y"),
+         ("c", 0, 200, None, None), ("c", 0, 200, None, None), ("d", 0, 200, None, None), ("e", 0, 500, None, "no"),
+         ("f", 0, 500, None, None), ("f", 1, 200, None, "q"), ("f", 1, 201, None, "p"), ("f", 2, 200, None, "z"),
+         ("f", 2, 200, None, "w"), (None, 0, 200, None, "n")],
+        "url string, attempt int, status int, error string, body string",
+    )
+    got = {r.url: (r.ok, r.http_status, r.body) for r in resolve_attempts(attempts).collect()}
+    assert got == {"a": (True, 200, "x"), "b": (True, 200, "y"), "c": (True, 200, None), "d": (True, 200, None),
+                   "e": (False, None, None), "f": (True, 200, "q")}
+    assert resolve_attempts(attempts).count() == 6 and resolve_attempts(attempts.limit(0)).count() == 0
