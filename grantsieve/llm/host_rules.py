@@ -18,10 +18,15 @@ WINDOW = 8
 
 @dataclass(frozen=True)
 class Verdicts:
-    """A host is rejected when its shrunk failure rate is above max_rate."""
+    """A host is rejected when its shrunk failure rate of some rule is above max_rate.
+
+    max_line_percent: repeated lines for each 100 words; max_symbol_percent: symbols for each 100 words.
+    """
 
     min_words: int = 20
     max_repeat_percent: int = 30
+    max_line_percent: int = 3
+    max_symbol_percent: int = 10
     max_rate: float = 0.5
     salts: int = 64
 
@@ -88,23 +93,35 @@ def base_failed(v: Verdicts = Verdicts()) -> Column:
     )
 
 
-def beta_prior(hosts: DataFrame) -> tuple[float, float]:
-    """Beta prior of failure rates by moments over hosts of at least two documents.
+def failures(v: Verdicts = Verdicts()) -> dict[str, Column]:
+    """What a document fails, by rule. Word length is none: it depends on the script."""
+    return {
+        "base": base_failed(v),
+        "lines": 100 * F.col("n_dup_lines") > v.max_line_percent * F.col("n_words"),
+        "symbols": 100 * F.col("n_symbols") > v.max_symbol_percent * F.col("n_words"),
+    }
+
 
-    Only one row of five sums reaches the driver. Without spread beyond that of the draws the
-    prior is as strong as all documents together; without such hosts it is (1, 1).
+def beta_priors(hosts: DataFrame, rules: list[str]) -> dict[str, tuple[float, float]]:
+    """Beta prior of each rule's failure rates by moments over hosts of at least two documents.
+
+    Only one row of a few sums per rule reaches the driver. Without spread beyond that of the draws
+    the prior is as strong as all documents together; without such hosts it is (1, 1).
     """
-    big = hosts.filter("n >= 2")
-    rate = F.col("failed") / F.col("n")
-    s = big.agg(
-        F.count("*").alias("hosts"), F.sum("n").alias("n"), F.sum("failed").alias("failed"),
-        F.sum(rate).alias("r"), F.sum(rate * rate).alias("r2"), F.sum(1 / F.col("n")).alias("inv"),
+    rates = {r: F.col(r) / F.col("n") for r in rules}
+    s = hosts.filter("n >= 2").agg(
+        F.count("*").alias("hosts"), F.sum("n").alias("n"), F.sum(1 / F.col("n")).alias("inv"),
+        *[F.sum(r).alias(f"{r}_failed") for r in rules],
+        *[F.sum(x).alias(f"{r}_rate") for r, x in rates.items()],
+        *[F.sum(x * x).alias(f"{r}_squares") for r, x in rates.items()],
     ).first()
-    if not s["hosts"]:
-        return 1.0, 1.0
+    return {r: _prior(s, r) if s["hosts"] else (1.0, 1.0) for r in rules}
+
+
+def _prior(s, rule: str) -> tuple[float, float]:
     # kept inside (0, 1) by half a document
-    mean = (s["failed"] + 0.5) / (s["n"] + 1.0)
-    spread = max(s["r2"] / s["hosts"] - (s["r"] / s["hosts"]) ** 2, 0.0)
+    mean = (s[f"{rule}_failed"] + 0.5) / (s["n"] + 1.0)
+    spread = max(s[f"{rule}_squares"] / s["hosts"] - (s[f"{rule}_rate"] / s["hosts"]) ** 2, 0.0)
     inverse = s["inv"] / s["hosts"]
     between = (spread - mean * (1 - mean) * inverse) / max(1 - inverse, 1e-9)
     strength = mean * (1 - mean) / between - 1 if between > 0 else float(s["n"])
@@ -113,25 +130,29 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
 
 
 def host_verdicts(measured: DataFrame, host: str, v: Verdicts = Verdicts()) -> DataFrame:
-    """Per host: n, failed, shrunk rate and host_kept. Rows without a host have no verdict.
+    """Per host: n, failures and shrunk rate (rate_<rule>) of each rule, and host_kept, false if a rate
+    is above max_rate. Rows without a host have no verdict.
 
     Counting combines before the shuffle, so a host with a third of all rows sends one row
     per partition.
     """
+    rules = failures(v)
     hosts = measured.filter(F.col(host).isNotNull()).groupBy(F.col(host).alias("host")).agg(
-        F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed")
+        F.count("*").alias("n"), *[F.sum(c.cast("long")).alias(r) for r, c in rules.items()]
     )
     hosts = written(hosts, "hosts")
-    a, b = beta_prior(hosts)
-    rate = (F.col("failed") + F.lit(a)) / (F.col("n") + F.lit(a + b))
-    return hosts.withColumn("rate", rate).withColumn("host_kept", F.col("rate") <= v.max_rate)
+    rates = {
+        f"rate_{r}": (F.col(r) + F.lit(a)) / (F.col("n") + F.lit(a + b))
+        for r, (a, b) in beta_priors(hosts, list(rules)).items()
+    }
+    return hosts.withColumns(rates).withColumn("host_kept", F.greatest(*rates) <= v.max_rate)
 
 
 def apply_host_rules(docs: DataFrame, host: str = "source", v: Verdicts = Verdicts()) -> DataFrame:
     """Per row: doc_id, five counts, base_failed and kept.
 
-    kept is false for a document that fails the base rules, else its host's verdict, else
-    (null host) true. Null and empty texts have no words and so fail. Null ids and repeated
+    kept is false for a document that fails the base rules, else its host's verdict over all rules,
+    else (null host) true. A document that fails by lines or symbols alone stays if its host does. Null and empty texts have no words and so fail. Null ids and repeated
     rows stay rows of their own. Other columns of docs are ignored, whatever their names.
     The join back is salted, so the documents of one host spread over many tasks.
     """

@@ -25,19 +25,22 @@ m AS (
          coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words
   FROM w LEFT JOIN lines USING (r) LEFT JOIN repeated USING (r)),
 f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+rules AS (
+  SELECT source, unnest(['base', 'lines', 'symbols']) AS rule,
+         unnest([base_failed, 100 * n_dup_lines > 3 * n_words, 100 * n_symbols > 10 * n_words]) AS failed FROM f),
 hosts AS (
-  SELECT source, count(*)::DOUBLE AS n, sum(base_failed::INT)::DOUBLE AS failed FROM f
-  WHERE source IS NOT NULL GROUP BY source),
+  SELECT source, rule, count(*)::DOUBLE AS n, sum(failed::INT)::DOUBLE AS failed FROM rules
+  WHERE source IS NOT NULL GROUP BY source, rule),
 s AS (
-  SELECT count(*) AS hosts, (sum(failed) + 0.5) / (sum(n) + 1) AS mean, sum(n) AS n, avg(1 / n) AS inv,
-         greatest(avg((failed / n) ** 2) - avg(failed / n) ** 2, 0) AS spread FROM hosts WHERE n >= 2),
+  SELECT rule, (sum(failed) + 0.5) / (sum(n) + 1) AS mean, sum(n) AS n, avg(1 / n) AS inv,
+         greatest(avg((failed / n) ** 2) - avg(failed / n) ** 2, 0) AS spread FROM hosts WHERE n >= 2 GROUP BY rule),
 b AS (SELECT *, (spread - mean * (1 - mean) * inv) / greatest(1 - inv, 1e-9) AS between_hosts FROM s),
 k AS (
-  SELECT CASE WHEN hosts = 0 THEN 0.5 ELSE mean END AS mean,
-         CASE WHEN hosts = 0 THEN 2.0
-              WHEN between_hosts > 0 THEN least(greatest(mean * (1 - mean) / between_hosts - 1, 1), n)
-              ELSE greatest(n, 1) END AS strength FROM b),
-v AS (SELECT source, (failed + mean * strength) / (n + strength) <= 0.5 AS host_kept FROM hosts, k)
+  SELECT rule, mean, CASE WHEN between_hosts > 0 THEN least(greatest(mean * (1 - mean) / between_hosts - 1, 1), n)
+                          ELSE greatest(n, 1) END AS strength FROM b),
+v AS (
+  SELECT source, max((failed + coalesce(mean * strength, 1)) / (hosts.n + coalesce(strength, 2))) <= 0.5 AS host_kept
+  FROM hosts LEFT JOIN k USING (rule) GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(host_kept, true) AS kept
 FROM f LEFT JOIN v USING (source)

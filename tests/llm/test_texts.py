@@ -121,6 +121,57 @@ def test_bad_host_takes_its_good_documents(spark):
     assert not kept[100] and kept[101] and all(kept[200 + i] for i in range(90))
 
 
+def plain_verdicts(rows, max_rate=0.5):
+    """Kept by (doc_id, text): failures of each rule by host, moments, shrunk rates, one loop each."""
+    def fails(text):
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+        lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        n, symbols = len(words), sum(text.count(c) for c in "#*$%&|<>")
+        repeats = plain_repeats(words) if n < 500 else host_rules.repeated_words([w.encode() for w in words])
+        return n < 20 or 100 * repeats > 30 * n, 100 * (len(lines) - len(set(lines))) > 3 * n, 100 * symbols > 10 * n
+
+    failed = [(d, t or "", h, fails(t or "")) for d, t, h in rows]
+    bad = set()
+    for rule in range(3):
+        by_host = {}
+        for _, _, h, f in failed:
+            if h is not None:
+                by_host.setdefault(h, []).append(f[rule])
+        big = [x for x in by_host.values() if len(x) > 1]
+        a = b = 1.0
+        if big:
+            total, rates = sum(map(len, big)), [sum(x) / len(x) for x in big]
+            mean = (sum(map(sum, big)) + 0.5) / (total + 1)
+            spread = max(sum(r * r for r in rates) / len(big) - (sum(rates) / len(big)) ** 2, 0)
+            inverse = sum(1 / len(x) for x in big) / len(big)
+            between = (spread - mean * (1 - mean) * inverse) / max(1 - inverse, 1e-9)
+            strength = min(max(mean * (1 - mean) / between - 1 if between > 0 else total, 1.0), total)
+            a, b = mean * strength, (1 - mean) * strength
+        bad |= {h for h, x in by_host.items() if (sum(x) + a) / (len(x) + a + b) > max_rate}
+    return sorted(((d, t, not f[0] and h not in bad) for d, t, h, f in failed), key=repr), bad
+
+
+def test_host_verdicts_of_each_rule_against_a_plain_version(spark, edge_rows):
+    """Hosts that fail by short texts, repeated lines or symbols go with their good documents; a
+    single bad document, a host of a few and documents without a host don't."""
+    good = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
+    lines = lambda i: "\n".join([good(i), *["the same line of words"] * 4])
+    rows = [(d, t, h) for d, t, _, h, _ in edge_rows]
+    rows += [(1000 + i, good(i), f"h{i % 12}") for i in range(240)] + [(2000 + i, good(i), None) for i in range(5)]
+    for k, (host, text) in enumerate(
+        (("short", lambda i: f"too short {i}"), ("lines", lines), ("symbols", lambda i: good(i) + " " + "#$ " * 9))
+    ):
+        rows += [(3000 + 100 * k + i, text(i), host) for i in range(30)] + [(3090 + 100 * k, good(k), host)]
+    rows += [(4000, "one bad text", "h1"), (4001, lines(1), "h2"), (4002, lines(2), None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(4)
+    got = host_rules.apply_host_rules(docs)
+    want, bad = plain_verdicts(rows)
+    assert {"short", "lines", "symbols"} <= bad and not any(h.startswith("h") for h in bad)
+    assert sorted(((r["doc_id"], r["kept"]) for r in got.collect()), key=repr) == sorted(
+        ((d, kept) for d, _, kept in want), key=repr
+    )
+
+
 def test_language(spark, edge, edge_rows, empty, small):
     model = langid.fit(spark.createDataFrame(
         [(1, "en", "the dog and the cat"), (2, "de", "der Hund und die Katze"), (3, None, "rien")],
