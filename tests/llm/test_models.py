@@ -6,9 +6,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from test_mixing import plain_draws
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from grantsieve.llm import quality
+from grantsieve.llm import decontaminate, quality, token_files
 from grantsieve.llm.queries import QUERIES
 
 
@@ -72,12 +74,13 @@ def test_quality_stage_keeps_what_the_plain_fit_accepts(spark, small, docs, plai
     assert all(tuple(r) == tuple(docs[r["doc_id"]]) for r in kept)
 
 
-def test_near_duplicate_stage_equals_all_pairs(spark, small, docs):
+def smallest_of_groups(texts, percent=80):
+    """The smallest id of each group linked by shared shingles, all pairs compared; texts by id."""
     def shingles(text):
         w = [x for x in "".join(" " if c in " \t\n\v\f\r" else chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").split(" ") if x]
         return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
 
-    sets, group = {i: shingles(r["text"]) for i, r in docs.items()}, {i: i for i in docs}
+    sets, group = {i: shingles(t) for i, t in texts.items()}, {i: i for i in texts}
 
     def root(i):
         while group[i] != i:
@@ -87,15 +90,64 @@ def test_near_duplicate_stage_equals_all_pairs(spark, small, docs):
     ids = sorted(sets)
     for i in ids:
         for j in ids:
-            if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) > 0:
+            if i < j and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]) > 0:
                 a, b = sorted((root(i), root(j)))
                 group[b] = a
+    return {i for i in ids if root(i) == i}
+
+
+def test_near_duplicate_stage_equals_all_pairs(spark, small, docs):
     given = spark.read.parquet(f"{small}/documents.parquet")
     kept = corpus_pipeline.keep_one_of_near_duplicates(spark, given, small).collect()
-    assert {r["doc_id"] for r in kept} == {i for i in ids if root(i) == i}
+    assert {r["doc_id"] for r in kept} == smallest_of_groups({i: r["text"] for i, r in docs.items()})
     assert all(tuple(r) == tuple(docs[r["doc_id"]]) for r in kept)
 
 
+def holders_of_items(texts, items, budget=decontaminate.Budget()):
+    """Ids of the texts within an item's edit budget, every item aligned with every text in full.
+
+    Texts are laid end to end with more signs between them than any budget could bridge.
+    """
+    gap = np.zeros(max(budget.edits(len(i)) for i in items) + 1, np.int32)
+    parts = [np.concatenate([gap, decontaminate.codes(decontaminate.plain(t or "")).astype(np.int32)]) for t in texts.values()]
+    signs, first = np.concatenate(parts), np.cumsum([0] + [len(x) for x in parts[:-1]])
+    steps, found = np.arange(len(signs) + 1, dtype=np.int32), np.zeros(len(parts), bool)
+    for item in items:
+        row = np.zeros(len(signs) + 1, np.int32)
+        for c in decontaminate.codes(item):
+            new = row + 1
+            np.minimum(new[1:], row[:-1] + (signs != c), out=new[1:])
+            row = np.minimum.accumulate(new - steps) + steps  # signs of the text left out
+        found |= np.minimum.reduceat(row[1:], first) <= budget.edits(len(item))
+    return {i for i, f in zip(texts, found) if f}
+
+
+def test_run_equals_the_plain_stages(spark, small, docs, plain_quality):
+    """Whole rows of the pipeline against plain versions of all five stages, one after the other."""
+    items = [decontaminate.plain(r["text"]) for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    assert min(map(len, items)) >= 24  # items that are aligned
+    left = {i: r["text"] for i, r in docs.items() if plain_quality[i] >= 0.3}
+    stages = [len(docs), len(left)]
+    left = {i: left[i] for i in smallest_of_groups(left)}
+    stages.append(len(left))
+    for i in holders_of_items(left, items):
+        del left[i]
+    stages.append(len(left))
+    draws = plain_draws([(i, t, docs[i]["source"], docs[i]["lang"]) for i, t in left.items()])
+    left = {i: t for i, t in left.items() if draws[i][3] < draws[i][2]}
+    stages.append(len(left))
+    assert all(a > b for a, b in zip(stages, stages[1:])) and left  # each stage decides something
+
+    tokenizer, at, want = Tokenizer.from_file(token_files.vocabulary()), 0, []
+    for i in sorted(left):
+        ids = tokenizer.encode(left[i] or "", add_special_tokens=False).ids + [2]
+        want.append((i, at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        at += len(ids)
+    got = corpus_pipeline.run(spark, small)
+    assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert sorted(map(tuple, got.collect())) == want
+
+
 def test_op3_equals_plain_backoff(spark, small, docs):
     def words(text):
         return "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
