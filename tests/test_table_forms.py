@@ -6,6 +6,7 @@ import shutil
 
 import pytest
 
+from grantsieve.contract.fixtures import solicitations
 from grantsieve.contract.queries import QUERIES
 
 PAGES = [(n, f"https://example.org/{n % 4}", "<p>x</p>") for n in range(1, 13)]
@@ -28,3 +29,13 @@ def test_stream_reads_a_table_in_any_form(spark, tmp_path, parts, single):
     plain = QUERIES["d1_keep_first"](spark, str(sf_dir)).select(stream.columns)
     assert sorted(map(str, stream.collect())) == sorted(map(str, plain.collect()))
     assert stream.count() > 0
+
+
+def test_composed_pages_keep_their_parts_behind_joins_that_shuffle(spark, small):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parts = solicitations(spark, small).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert parts == 4 * spark.sparkContext.defaultParallelism
