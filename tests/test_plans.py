@@ -75,3 +75,17 @@ def test_first_n_has_no_merging_task(spark, small):
     plan = plan_of(QUERIES["d2_first_n"](spark, small))
     for bad in ("TakeOrderedAndProject", "SinglePartition", "Exchange", "GlobalLimit"):
         assert bad not in plan
+
+
+def test_a_page_is_composed_once_behind_the_parts_dealt_out(spark, small):
+    for name in ("h2_solicitation_text", "r2_flat_records", "t2_tag_text", "e9_award"):
+        plan = plan_of(QUERIES[name](spark, small))
+        before, dealt, behind = plan.partition("REPARTITION_BY_NUM")
+        assert dealt and before.count("<!DOCTYPE html>") == 1, name
+        assert "<!DOCTYPE html>" not in behind and "Full Proposal Deadline" not in behind, name
+        assert "isnotnull(html#" in before, name
+
+
+def test_a_page_is_not_composed_where_its_source_is_not_used(spark, small):
+    for name in ("d4_page_order", "s5_file_stem"):
+        assert "<!DOCTYPE html>" not in plan_of(QUERIES[name](spark, small)), name
