@@ -34,3 +34,14 @@ def test_a_month_is_found_in_any_case(apply):
 def test_space_behind_references_is_collapsed_once(apply):
     sources = [" a &nbsp;\n<b> &amp;\tamp; </b>&#32;  c ", "&nbsp;", None, "x &foo  ;&lt;  &copy", "<![CDATA[ a  &amp; ]]> b"]
     assert apply(sources, markup_text) == ["a & amp; c", "", "", "x &foo ;< ©", "a & b"]
+
+
+def test_known_letters_are_compared_before_looking_back(apply):
+    from grantsieve.functions.patterns import WORD, any_of, caseless
+
+    assert portable(r"\bIII\.\s*Award\b").startswith(rf"III\.(?<!{WORD}....)")
+    assert any_of([r"\bAward Notes\b"]) == f"Award Note(?<!{WORD}..........)s(?!{WORD})"
+    texts = ["III. Award", "xIII. award", "\U00010000iii.Award", "\U0001f600 ııİ.AWARD", "iii. Awards", "\U0001f600III. Award", "xIII. Award III. Award"]
+    found = apply(texts, lambda c: F.array_join(F.regexp_extract_all(c, F.lit(caseless([r"\bIII\.\s*Award\b"])), F.lit(0)), "|"))
+    assert found == ["III. Award", "", "", "ııİ.AWARD", "", "III. Award", "III. Award"]
+    assert apply(["a|b", "III. Award", "iv. x"], lambda c: c.rlike(caseless([r"a\|b", r"\bIV\.", r"II"]))) == [True, True, True]
