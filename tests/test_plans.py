@@ -89,3 +89,21 @@ def test_a_page_is_composed_once_behind_the_parts_dealt_out(spark, small):
 def test_a_page_is_not_composed_where_its_source_is_not_used(spark, small):
     for name in ("d4_page_order", "s5_file_stem"):
         assert "<!DOCTYPE html>" not in plan_of(QUERIES[name](spark, small)), name
+
+
+def test_parts_follow_the_orders(spark, small, tmp_path):
+    """Ten times the pages are ten times the parts: no task grows with the table."""
+    import re
+
+    orders = fx.table(spark, small, "orders").limit(1).drop("o_orderkey")
+    customers, nations = fx.table(spark, small, "customer"), fx.table(spark, small, "nation")
+    parts = []
+    for n in (500_000, 5_000_000):
+        sf_dir = f"{tmp_path}/{n}"
+        spark.range(n).withColumnRenamed("id", "o_orderkey").join(orders.hint("broadcast")).write.parquet(f"{sf_dir}/orders.parquet")
+        customers.write.parquet(f"{sf_dir}/customer.parquet")
+        nations.write.parquet(f"{sf_dir}/nation.parquet")
+        plan = plan_of(QUERIES["x4_date_as_written"](spark, sf_dir))
+        parts.append(int(re.search(r"(\d+)\), REPARTITION_BY_NUM", plan)[1]))
+    cores = 4 * spark.sparkContext.defaultParallelism
+    assert parts == [max(cores, 20), max(cores, 200)] and parts[1] > cores
