@@ -195,3 +195,48 @@ def test_eligibility(apply):
 def test_tag_text_joins_empty_fields(spark):
     df = spark.createDataFrame([("machine", None, "learning")], "a string, b string, c string")
     assert df.select(tag_text(*[F.col(c) for c in "abc"])).first()[0] == "machine  learning"
+
+
+def test_parts_of_clean_text_are_stripped_without_another_search_for_space(apply):
+    parts = ["II. Program Description", "Overall Approach", "III. Award Information", "IV. Eligibility:",
+             "Who May Submit Proposals:", "Merit Review Criteria", " ", "\n", "x\ty", "May 4, 2031", "word " * 9,
+             "V. Proposal Preparation", "$5", " "]
+    texts = random_texts(parts) + random_texts(["\x1c", *parts], seed=8) + ["", None]
+
+    def both(part):
+        def run(c):
+            clean = X.clean_text(c)
+            folded = X.fold_case(clean)
+            return F.struct(part(clean, folded, False), part(clean, folded, True))
+
+        return run
+
+    found = 0
+    for part in (
+        lambda c, f, k: E.slice_between(c, P.description_starts, P.description_ends, f, clean=k),
+        lambda c, f, k: E.description(c, P, f, clean=k),
+        lambda c, f, k: E.award_section(c, P, f, clean=k),
+        lambda c, f, k: E.eligibility(c, P, f, clean=k),
+    ):
+        for plain, stripped in apply(texts, both(part)):
+            assert plain == stripped
+            found += plain != ""
+    assert found > 200
+
+
+def test_no_search_for_space_in_parts_of_page_text(spark, small):
+    from grantsieve.contract.queries import QUERIES
+
+    text = QUERIES["h2_solicitation_text"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    for name in ("e1_slice_between", "e7_description", "e8_award_section", "e10_e11_eligibility"):
+        plan = QUERIES[name](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("(?<! )") == text.count("(?<! )") > 0, name
+
+
+def test_windows_are_searched_for_the_phrase_only_on_pages_that_hold_it(apply):
+    label, phrase = "Full Proposal Deadline(s):", P.anytime_phrase
+    texts = random_texts([label, phrase, phrase.upper(), "May 4, 2031", "pad " * 130, "propoſals accepted anytime"])
+    plain, gated = (
+        apply(texts, lambda c: E.due_date(c, P, X.fold_case(c) if some else None)) for some in (False, True)
+    )
+    assert plain == gated and {"", phrase, "May 4, 2031"} <= {d["raw"] for d in plain}
