@@ -117,3 +117,16 @@ def test_empty_batch_writes_no_exports(spark, tmp_path):
     done = parse_batch(df, str(tmp_path / "out"))
     assert (done.records, done.json, done.csv) == (0, None, None)
     assert not (tmp_path / "out" / "records_json").exists()
+
+
+def test_text_without_phrases_is_not_searched_for_white_space_again(spark):
+    """Cut phrases leave plain spaces only; in front, behind and next to each other."""
+    from grantsieve.operators.records import page_texts
+
+    skip, search = "Skip to main content", "National Science Foundation Search"
+    bodies = [skip, f"{skip} {search}", f"a\u00a0{skip}\n{skip} <b>{search}</b>\tb", f"<p>{search}</p>x  y", "  a \u2003 b "]
+    rows = [(str(i), f"<body>{b}</body>") for i, b in enumerate(bodies)]
+    texts = page_texts(spark.createDataFrame(rows, "file_stem string, html string")).select("file_stem", "text")
+    assert [r.text for r in texts.orderBy("file_stem").collect()] == ["", "", "a b", "x y", "a b"]
+    plan = texts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("IsWhite_Space}\\x1c\\x1d\\x1e\\x1f](?:") == 1
