@@ -27,3 +27,20 @@ def test_bytes_of_pages_are_written_as_they_are(spark, tmp_path):
     pages = spark.range(1).selectExpr("'a' AS file_stem", "cast(X'41FF42' AS string) AS html")
     write_page_files(pages, f"file://{tmp_path}/out")
     assert [p.read_bytes() for p in Path(tmp_path, "out").glob("part=*/file_stem=a.txt")] == [b"A\xffB\n"]
+
+
+def test_a_task_reads_many_small_page_files(spark, tmp_path):
+    from grantsieve.sources.pages import read_html_folder
+
+    for i in range(4 * spark.sparkContext.defaultParallelism + 8):
+        Path(tmp_path, f"p{i}.html").write_text(f"<p>{i}</p>")
+    cost = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(cost)
+    spark.conf.set(cost, "128m")  # a split for each file
+    try:
+        pages = read_html_folder(spark, str(tmp_path))
+        assert pages.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+        rows = {(r.file_stem, r.html) for r in pages.collect()}
+    finally:
+        spark.conf.set(cost, before)
+    assert rows == {(f"p{i}", f"<p>{i}</p>") for i in range(4 * spark.sparkContext.defaultParallelism + 8)}
